@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import canonical, registry_match
+from plumbline.llm import canonical, leaks, packing, registry_match, splitting
 from plumbline.session import read_table
 
 
@@ -33,5 +33,17 @@ def p3_unmatched_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("src_field", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_canonical_names": p2_canonical_names, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values}
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.leaked_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "eval_items"))
+
+
+def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return splitting.split_documents(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_canonical_names": p2_canonical_names, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}
 ORACLES: dict[str, str] = {}

@@ -24,6 +24,10 @@ _DRAWN = {0x0600, 0x0601, 0x0602, 0x0603, 0x0604, 0x0605, 0x06DD, 0x070F, 0x08E2
 _IGNORABLE = [0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, *range(0x180B, 0x1810), 0x2065, 0x3164, *range(0xFE00, 0xFE10), 0xFFA0, *range(0xFFF0, 0xFFF9), *range(0xE0100, 0xE01F0)]
 
 
+#: Code points with decompositions, marks, spaces or format characters; beyond are ideographs and private use.
+CODE_POINTS = [*range(0xD800), *range(0xE000, 0x30000), *range(0xE0000, 0xE0200)]
+
+
 def _cache() -> dict:
     # functions of this package travel to the workers by value; what is kept between calls lives here
     return sys.modules.setdefault("_plumbline_cache", types.ModuleType("_plumbline_cache")).__dict__
@@ -54,9 +58,7 @@ def char_map() -> dict[str, str]:
         return kept
     table: dict[str, str] = {}
     ignorable = set(_IGNORABLE)
-    for cp in range(0x110000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
+    for cp in CODE_POINTS:
         ch = chr(cp)
         cat = ud.category(ch)
         if cat == "Zs" or ch in "\t\x0b\x0c":
@@ -89,15 +91,13 @@ def sorted_marks(text: str) -> str:
 
 def mark_classes() -> dict[str, int]:
     """combining mark -> its class."""
-    return {chr(c): ud.combining(chr(c)) for c in range(0x110000) if ud.combining(chr(c))}
+    return {chr(c): ud.combining(chr(c)) for c in CODE_POINTS if ud.combining(chr(c))}
 
 
 def compositions() -> dict[str, str]:
     """base + mark -> composed character, without those that canonical composition excludes."""
     out = {}
-    for c in range(0xC0, 0x110000):
-        if 0xD800 <= c <= 0xDFFF:
-            continue
+    for c in CODE_POINTS:
         d = ud.decomposition(chr(c))
         if d and not d.startswith("<") and " " in d and ud.normalize("NFC", chr(c)) == chr(c):
             a, b = (chr(int(x, 16)) for x in d.split())
