@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import canonical, leaks, packing, registry_match, splitting
+from plumbline.llm import boilerplate, canonical, leaks, packing, registry_match, splitting
 from plumbline.session import read_table
 
 
@@ -33,6 +33,14 @@ def p3_unmatched_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("src_field", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.line_verdicts(read_table(spark, sf_dir, "web_fetch_exa")).where("not is_main").select("fetch_id", "line_no")
+
+
+def p6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.main_text(read_table(spark, sf_dir, "web_fetch_exa"))
+
+
 def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -45,5 +53,5 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_canonical_names": p2_canonical_names, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}
+QUERIES = {"p2_found": p2_found, "p2_canonical_names": p2_canonical_names, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p6_found": p6_found, "p6_main_text": p6_main_text, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}
 ORACLES: dict[str, str] = {}
