@@ -105,9 +105,12 @@ def match_values(values: DataFrame, registry: DataFrame, n_col: str = "n") -> Da
     better rank. A value equally close to two entries belongs to neither. Very long values take part
     like any other; a value longer than every reference key plus its edits has no fuzzy candidate.
     """
+    from plumbline.session import cut
+
     spark = values.sparkSession
-    keys = registry_keys(registry)
-    mine = value_keys(values)
+    # both are read several times below
+    keys = cut(registry_keys(registry))
+    mine = cut(value_keys(values))
     return spark.sql(
         """
         with exact as (
