@@ -1,6 +1,7 @@
 """All queries of the core, with their SQL."""
 
-from plumbline.plans import problem_queries
+from plumbline.plans import function_queries, problem_queries, relational_queries
 
-QUERIES = {**problem_queries.QUERIES}
-ORACLES = {**problem_queries.ORACLES}
+_PARTS = (problem_queries, relational_queries, function_queries)
+QUERIES = {k: v for part in _PARTS for k, v in part.QUERIES.items()}
+ORACLES = {k: v for part in _PARTS for k, v in part.ORACLES.items()}
