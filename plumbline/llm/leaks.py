@@ -14,6 +14,7 @@ import pickle
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -166,6 +167,17 @@ class Index:
         return out
 
 
+def _search_udf(shared):
+    @F.pandas_udf("array<bigint>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        index = Index.__new__(Index)
+        index.__dict__.update(pickle.loads(zlib.decompress(shared.value)))
+        for text in batches:
+            yield pd.Series(index.leaked(text.tolist()), dtype=object)
+
+    return found
+
+
 def leaked_items(documents: DataFrame, items: DataFrame, run: int = RUN, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id): the document and the item share a run of at least ``run`` consecutive words.
 
@@ -183,15 +195,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = RUN, block_i
     for b in range(blocks):
         part = table if blocks == 1 else table.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
         index = Index([(r[0], r[1]) for r in part.orderBy("item_id").toLocalIterator()], run)
-        shared = spark.sparkContext.broadcast(zlib.compress(pickle.dumps(index.__dict__)))
-
-        @F.pandas_udf("array<bigint>")
-        def found(text: pd.Series, shared=shared) -> pd.Series:
-            state = shared.value if isinstance(shared.value, dict) else pickle.loads(zlib.decompress(shared.value))
-            own = Index.__new__(Index)
-            own.__dict__.update(state)
-            return pd.Series(own.leaked(text.tolist()), dtype=object)
-
+        found = _search_udf(spark.sparkContext.broadcast(zlib.compress(pickle.dumps(index.__dict__))))
         hits = docs.select("doc_id", F.explode(found("text")).alias("item_id"))
         result = hits if result is None else result.unionByName(hits)
     return result
