@@ -45,7 +45,7 @@ def dedupe_key(url: Column | str) -> Column:
 
     Percent escapes are taken as written. Null for what is no http(s) url.
     """
-    scheme = F.lower(F.regexp_extract(url, r"^\s*(https?)://", 1))
+    scheme = F.lower(F.regexp_extract(url, r"(?i)^\s*(https?)://", 1))
     pairs = F.filter(F.split(query(url), "&"), lambda p: p != "")
     pairs = F.transform(pairs, lambda p: F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))))
     name = lambda p: F.lower(F.substring_index(p, "=", 1))
