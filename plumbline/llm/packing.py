@@ -97,7 +97,9 @@ def token_sizes(documents: DataFrame, tokenizer: str | None = None) -> DataFrame
         count = tokens.counter(tokenizer).count
         return pd.Series([count(t) for t in text], dtype="int32")
 
-    return documents.select("doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", size("text").alias("n_tokens"))
+    # not deterministic in the planner's sense only: it must not repeat the count to filter by it
+    once = size.asNondeterministic()
+    return documents.select("doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", once("text").alias("n_tokens"))
 
 
 def pack_documents(documents: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, tokenizer: str | None = None) -> DataFrame:
