@@ -39,23 +39,25 @@ BUTTONS = (
     "ho capito|accetta tutti|rifiuta|personalizza|aceptar todo|rechazar|configurar|entendido|j'ai compris|tout accepter|tout refuser|paramétrer"
 )
 PHRASES = (
-    r"cookie|privacy|privatsphäre|datenschutz|privacidad|confidentialité|kennungen|small files on your device|"
-    r"rights reserved|rechte vorbehalten|diritti riservati|derechos reservados|droits réservés|plus vat|zzgl\. mwst|iva esclusa|sin iva|hors tva|"
-    r"imprint|impressum|note legali|aviso legal|mentions légales|information on this website|ohne gewähr|senza garanzia|sin garantía alguna|"
-    r"follow us|folgen sie uns|seguici|síganos|suivez-nous|choose country|land wählen:|powered by|^payment:|^zahlung:|^pagamento:|^pago:|^paiement|"
-    r"our advisers|unsere berater|nostri consulenti|nuestros asesores|nos conseillers|has planned roofs|plant .* dächer|progetta tetti|proyecta cubiertas|conçoit des toitures|"
-    r"plants a tree|pflanzt|pianta un albero|planta un árbol|plante un arbre|showroom|unsere ausstellung|nostro showroom|nuestra exposición|"
-    r"sign up as a dealer|händler werden|diventa rivenditore|hágase distribuidor|devenez revendeur|roof days|dachtage|giornate del tetto|jornadas|journées|meet us at stand|"
-    r"now in stock|jetzt auf lager|ab sofort|subito disponibile|ya disponible|en stock|read more|mehr lesen|scopri di più|leer más|en savoir plus|"
-    r"e-mail|newsletter|ask our experts|call \d|rufen sie uns an|chiama|llame al|appelez|registered in|handelsregister|p\. iva|registro mercantil|\brcs\b|"
-    r"add to wish list|back to top|nach oben|torna su|volver arriba|haut de page|recently viewed|zuletzt angesehen|visti di recente|vistos recientemente|vus récemment|consultés récemment|"
-    r"errors excepted|satisfied customers|trusted shops"
-)
+    "cookie|privacy|privatsphäre|datenschutz|privacidad|confidentialité|kennungen|small files on your device|"
+    "rights reserved|rechte vorbehalten|diritti riservati|derechos reservados|droits réservés|plus vat|zzgl. mwst|iva esclusa|sin iva|hors tva|"
+    "imprint|impressum|note legali|aviso legal|mentions légales|information on this website|ohne gewähr|senza garanzia|sin garantía alguna|"
+    "follow us|folgen sie uns|seguici|síganos|suivez-nous|choose country|land wählen:|powered by|"
+    "our advisers|unsere berater|nostri consulenti|nuestros asesores|nos conseillers|has planned roofs|progetta tetti|proyecta cubiertas|conçoit des toitures|"
+    "plants a tree|pflanzt|pianta un albero|planta un árbol|plante un arbre|showroom|unsere ausstellung|nuestra exposición|"
+    "sign up as a dealer|händler werden|diventa rivenditore|hágase distribuidor|devenez revendeur|roof days|dachtage|giornate del tetto|jornadas|journées|meet us at stand|"
+    "now in stock|jetzt auf lager|ab sofort|subito disponibile|ya disponible|en stock|read more|mehr lesen|scopri di più|leer más|en savoir plus|"
+    "e-mail|newsletter|ask our experts|rufen sie uns an|chiama|llame al|appelez|registered in|handelsregister|p. iva|registro mercantil|"
+    "add to wish list|back to top|nach oben|torna su|volver arriba|haut de page|recently viewed|zuletzt angesehen|visti di recente|vistos recientemente|vus récemment|consultés récemment|"
+    "errors excepted|satisfied customers|trusted shops"
+).split("|")
+STARTS = ("payment:", "zahlung:", "pagamento:", "pago:", "paiement")
+# phrases with a free part; the first word is looked for first
+OPEN_PHRASES = [("plant ", re.compile(r"\bplant .* dächer")), ("call ", re.compile(r"\bcall \d")), ("rcs", re.compile(r"\brcs\b"))]
 NEWS = re.compile(r"^(tags?|schlagwörter|schlagworte|stichwörter|etichette|etiquetas|mots-clés|étiquettes|new|neu|novità|nuevo|novedad|nouveau|nouveauté|recently viewed|zuletzt angesehen|visti di recente|vistos? reciente\w*|visto recientemente|vus? récemment)\s?:", re.I)
 MODEL = re.compile(r"(?<![^\W_])[A-Za-z]{2,5}-?\d{1,3}[A-Za-z]-?[A-Za-z0-9]{4}(?![^\W_])")
 _BOX = {label: kind for kind, labels in LABELS.items() for label in labels.split("|")}
 _BUTTON = frozenset(BUTTONS.split("|"))
-_PHRASE = re.compile(PHRASES, re.I)
 _LINKS = re.compile(r"\s+[|/>»·•]\s+|\s{2,}")
 _BULLET = re.compile(r"^([-*•]|\d{1,2}\.)\s+")
 _ADDRESS = re.compile(r"^[^,.|:]{2,40}, [^,.|:]{3,40}, [^,.|:0-9]{2,40}$")
@@ -64,14 +66,13 @@ _CONTENTS = re.compile(r"^\d{1,2}\s+\S+(\s\S+)?$")
 _DIGITS = re.compile(r"\d+([.,:]\d+)*")
 
 
-def page_model(url: str, lines: list[str]) -> str | None:
+def page_model(url: str, lines: list[str], found: list[list[str]]) -> str | None:
     """The designation of the page's product: the one in the url if the page has it, else the most frequent one."""
     seen: dict[str, int] = {}
-    for line in lines:
-        if NEWS.match(line):
-            continue
-        for m in MODEL.findall(line):
-            seen[m.upper()] = seen.get(m.upper(), 0) + 1
+    for line, models in zip(lines, found):
+        if models and not NEWS.match(line):
+            for m in models:
+                seen[m] = seen.get(m, 0) + 1
     if not seen:
         return None
     bare = (url or "").upper().replace("-", "")
@@ -79,6 +80,11 @@ def page_model(url: str, lines: list[str]) -> str | None:
     return max(named or seen, key=lambda m: (seen[m], m))
 
 
+def has_phrase(low: str) -> bool:
+    """Whether a lower-case line holds a phrase of page furniture; substring search is much faster than one large pattern."""
+    return low.startswith(STARTS) or any(p in low for p in PHRASES) or any(w in low and p.search(low) for w, p in OPEN_PHRASES)
+
+
 def is_links(line: str) -> bool:
     """A list of links: three or more short items between separators, no sentence and no table row."""
     if line.startswith("|") or line.endswith((".", "!", "?")):
@@ -91,14 +97,15 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
     """(line_no, path, score) of each visible line; scores of SURE and above are main text, of -SURE and below furniture."""
     raw = fold(content).split("\n")
     lines = [line.strip() for line in raw]
-    model = page_model(url or "", lines)
+    found = [[m.upper() for m in MODEL.findall(line)] for line in lines]
+    model = page_model(url or "", lines, found)
     out: list[tuple[int, str, int]] = []
     in_head, box, box_left = True, "", 0
     for no, line in enumerate(lines):
         if not line:
             continue
         low = " ".join(line.lower().split())
-        models = [m.upper() for m in MODEL.findall(line)]
+        models = found[no]
         own = model is not None and model in models
         bullet = _BULLET.match(line)
         body = line[bullet.end() :] if bullet else line
@@ -109,7 +116,7 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
         news = bool(NEWS.match(line))
         button = low.strip("*-• ") in _BUTTON
         label = _BOX.get(low.rstrip(":"), "")
-        furniture = news or button or "↑" in line or line.startswith("©") or "★" in line or (not own and (_PHRASE.search(low) is not None or _ADDRESS.match(line) is not None))
+        furniture = news or button or "↑" in line or line.startswith("©") or "★" in line or (not own and (has_phrase(low) or _ADDRESS.match(line) is not None))
         data = not sentence and not links and n_words <= 8 and _DATA.search(body) is not None
         score = 0
         if in_head and own and not links and not news and not furniture and not (box and not sentence and not line.startswith("#")):
