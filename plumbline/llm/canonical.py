@@ -2,7 +2,7 @@
 
 Texts that hold no special character are their own form (a check, not a sample: the set of special
 characters is exactly those whose form differs, and all combining marks). The others are exploded to
-positioned code points, joined with the broadcast mapping of decompositions and look-alikes, their
+positioned code points (stretches that no rule touches stay in one piece), joined with the broadcast mapping of decompositions and look-alikes, their
 combining marks ordered by class within each base's run, recomposed, and put together again.
 """
 
@@ -14,11 +14,25 @@ from pyspark.sql import functions as F
 from plumbline.llm import lookalikes as la
 
 SALTS = 16
+#: Spares plain characters the long character classes.
+_NOT_PLAIN = r"(?=[^\x20-\x7E\n])"
 
 
 def has_special(text: Column) -> Column:
-    special = la.special_characters()
-    return F.length(F.translate(text, special, "")) != F.length(text)
+    """Whether a text holds a special character; the look-ahead spares plain characters the long class."""
+    return text.rlike(_NOT_PLAIN + "[" + la.java_class(la.special_characters()) + "]")
+
+
+def pieces(text: Column) -> Column:
+    """The text as an array of code points, but stretches that no rule touches stay in one piece.
+
+    A special character stands alone, and so does a character that a mark attaches to, be it across
+    characters without a visible form.
+    """
+    special, marks, gone = (f"[{la.java_class(c)}]" for c in (la.special_characters(), la.attaching_characters(), la.invisible_characters()))
+    at_special = f"(?<={_NOT_PLAIN}{special})|(?={_NOT_PLAIN}{special})"
+    before_base = f"(?=(?s:.)(?:{_NOT_PLAIN}{gone})*{_NOT_PLAIN}{marks})"
+    return F.split(text, f"{at_special}|{before_base}")
 
 
 def _mapping(spark: SparkSession) -> DataFrame:
@@ -54,30 +68,37 @@ def canonical_text(rows: DataFrame, keys: list[str], text: str = "text") -> Data
     letter case, accents, digits and punctuation are kept; several spaces are not one. Hangul
     syllables are not taken apart. A very long text is one group of one task, as it is one row.
     """
-    spark = rows.sparkSession
     base = rows.select(*keys, F.col(text).alias(text)).where(F.col(text).isNotNull())
     plain = base.where(~has_special(F.col(text))).withColumn("canonical", F.col(text))
     odd = base.where(has_special(F.col(text)))
-    # decomposition and look-alikes
-    points = odd.select(*keys, F.posexplode(F.split(text, "")).alias("_pos", "_ch"))
+    return plain.unionByName(odd.join(_rebuilt(odd, keys, text), keys))
+
+
+def _rebuilt(odd: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys`` and ``canonical`` of texts with special characters, one row per key."""
+    spark = odd.sparkSession
+    # texts are shuffled, not their code points: all that follows keeps this partitioning
+    odd = odd.dropDuplicates(keys)
+    # decomposition and look-alikes; a character without a visible form leaves a row without one
+    points = odd.select(*keys, F.posexplode(pieces(F.col(text))).alias("_pos", "_ch"))
     points = points.join(F.broadcast(_mapping(spark)), "_ch", "left")
-    points = points.select(*keys, "_pos", F.posexplode(F.coalesce("_parts", F.array("_ch"))).alias("_sub", "_ch"))
+    points = points.select(*keys, "_pos", F.posexplode_outer(F.coalesce("_parts", F.array("_ch"))).alias("_sub", "_ch"))
     # combining marks belong to the run of the starter before them
     points = points.join(F.broadcast(_classes(spark)), "_ch", "left").withColumn("_class", F.coalesce("_class", F.lit(0)))
     in_text = Window.partitionBy(*keys).orderBy("_pos", "_sub")
-    points = points.withColumn("_run", F.sum(F.when(F.col("_class") == 0, 1).otherwise(0)).over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    starts = F.when((F.col("_class") == 0) & F.col("_ch").isNotNull(), 1).otherwise(0)
+    points = points.withColumn("_run", F.sum(starts).over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     runs = points.groupBy(*keys, "_run").agg(
         F.max(F.when(F.col("_class") == 0, F.col("_ch"))).alias("_base"),
         F.array_sort(F.collect_list(F.when(F.col("_class") > 0, F.struct("_class", "_pos", "_sub", "_ch")))).alias("_marks"),
     )
-    made = F.when(F.size("_marks") == 0, F.col("_base")).otherwise(_compose(F.coalesce("_base", F.lit("")), F.col("_marks")))
-    built = (
+    bare = F.coalesce("_base", F.lit(""))
+    made = F.when(F.size("_marks") == 0, bare).otherwise(_compose(bare, F.col("_marks")))
+    return (
         runs.select(*keys, F.struct("_run", made.alias("_s")).alias("_r"))
         .groupBy(*keys)
         .agg(F.array_join(F.transform(F.array_sort(F.collect_list("_r")), lambda r: r["_s"]), "").alias("canonical"))
     )
-    rebuilt = odd.join(built, keys, "left").withColumn("canonical", F.coalesce("canonical", F.lit("")))
-    return plain.unionByName(rebuilt)
 
 
 def lookalike_pairs(rows: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -91,14 +112,16 @@ def lookalike_pairs(rows: DataFrame, id_col: str, text: str) -> DataFrame:
     """
     base = rows.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text")).where(F.col("_id").isNotNull() & F.col("_text").isNotNull()).withColumn("_exact", F.md5("_text"))
     # ids are meant to be unique; the exact text is part of the key in case they are not
-    forms = canonical_text(base, ["_id", "_exact"], "_text").select("_id", "_exact", F.md5("canonical").alias("_class"))
+    odd = base.where(has_special(F.col("_text")))
+    plain = base.where(~has_special(F.col("_text"))).select("_id", "_exact", F.col("_exact").alias("_class"))
+    forms = _rebuilt(odd, ["_id", "_exact"], "_text").select("_id", "_exact", F.md5("canonical").alias("_class"))
     from plumbline.session import cut
 
-    forms = cut(forms)
+    forms = cut(plain.unionByName(forms).distinct())
     texts = forms.groupBy("_class", "_exact").agg(F.min("_id").alias("_rep"))
     multi = texts.groupBy("_class").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_class")
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
     reps = texts.join(multi, "_class").select("_class", F.col("_exact").alias("_o_exact"), F.col("_rep").alias("_o"), salts.alias("_salt"))
-    left = forms.distinct().withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
+    left = forms.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
     pairs = left.join(reps, ["_class", "_salt"]).where("_exact <> _o_exact and _id <> _o")
     return pairs.select(F.least("_id", "_o").alias("id_a"), F.greatest("_id", "_o").alias("id_b")).distinct()

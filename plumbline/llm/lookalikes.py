@@ -115,6 +115,26 @@ def special_characters() -> str:
     return own
 
 
+def java_class(characters: str) -> str:
+    """Characters as the inside of a Java character class, in ranges."""
+    ranges: list[list[int]] = []
+    for p in sorted(set(map(ord, characters))):
+        if ranges and ranges[-1][1] == p - 1:
+            ranges[-1][1] = p
+        else:
+            ranges.append([p, p])
+    return "".join(rf"\x{{{a:x}}}" if a == b else rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges)
+
+
+def attaching_characters() -> str:
+    """Combining marks, and characters whose form begins with one: what joins the character before it."""
+    return "".join(mark_classes()) + "".join(c for c, to in char_map().items() if to and ud.combining(to[0]))
+
+
+def invisible_characters() -> str:
+    return "".join(c for c, to in char_map().items() if not to)
+
+
 def fold(text: str) -> str:
     """The canonical form of one text; the same result as ``canonical.canonical_text``."""
     if text.isascii() and text.isprintable():
