@@ -96,6 +96,8 @@ def is_links(line: str) -> bool:
 def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
     """(line_no, path, score) of each visible line; scores of SURE and above are main text, of -SURE and below furniture."""
     raw = fold(content).split("\n")
+    if len(raw) != content.count("\n") + 1:  # other line separators do not count
+        raw = [fold(line).replace("\n", " ") for line in content.split("\n")]
     lines = [line.strip() for line in raw]
     found = [[m.upper() for m in MODEL.findall(line)] for line in lines]
     model = page_model(url or "", lines, found)

@@ -32,6 +32,11 @@ def test_consent_null_empty_and_long(spark):
     assert verdicts(spark, []) == {}
 
 
+def test_only_line_feeds_split_lines(spark):
+    got = verdicts(spark, [(1, None, "Accept all\u2028x\x85y\r\nAccept all\r\n")])
+    assert set(got) == {(1, 0), (1, 1)}
+
+
 def test_votes_of_the_host_decide_open_lines(spark):
     # the same words on many pages of one host and nowhere else are furniture; elsewhere they are a heading
     pages = [(i, f"https://a.example/p/abc-1{i}d-3efg", f"ABC-1{i}D-3EFG\nThe ABC-1{i}D-3EFG is light and small.\nGreen corner\nIt runs at night without noise, as said.") for i in range(10, 30)]
