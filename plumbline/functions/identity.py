@@ -34,12 +34,17 @@ def identity_key_column(text: Column | str, compatibility: bool = True) -> Colum
     return F.when(c.rlike(r"^[\x00-\x7f]*$"), F.regexp_replace(F.lower(c), "[^a-z0-9]", "")).otherwise(identity_key_udf(compatibility)(other))
 
 
+# What must not stand before and behind a model, and what may stand between its tokens.
+NOT_BEFORE = r"(?<![^\W_])(?<![^\W_][.\-_/])"
+NOT_BEHIND = r"(?![^\W_])(?![.\-_/][^\W_])"
+BETWEEN = r"[\W_]*"
+
+
 def identity_pattern(model: Column | str) -> Column:
     """Java pattern that finds exactly this model: tokens with free punctuation between, no letter, digit or joined neighbour around."""
     tokens = F.filter(F.split(F.lower(model), r"(?U)[\W_]+"), lambda t: t != "")
     quoted = F.transform(tokens, lambda t: F.concat(F.lit(r"\Q"), t, F.lit(r"\E")))
-    body = F.array_join(quoted, r"[\W_]*")
-    return F.when(F.size(tokens) > 0, F.concat(F.lit(r"(?U)(?<![^\W_])(?<![^\W_][.\-_/])"), body, F.lit(r"(?![^\W_])(?![.\-_/][^\W_])")))
+    return F.when(F.size(tokens) > 0, F.concat(F.lit("(?U)" + NOT_BEFORE), F.array_join(quoted, BETWEEN), F.lit(NOT_BEHIND)))
 
 
 def names_model(text: Column | str, model: Column | str) -> Column:
