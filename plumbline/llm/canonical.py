@@ -31,7 +31,8 @@ def pieces(text: Column) -> Column:
     """
     special, marks, gone = (f"[{la.java_class(c)}]" for c in (la.special_characters(), la.attaching_characters(), la.invisible_characters()))
     at_special = f"(?<={_NOT_PLAIN}{special})|(?={_NOT_PLAIN}{special})"
-    before_base = f"(?=(?s:.)(?:{_NOT_PLAIN}{gone})*{_NOT_PLAIN}{marks})"
+    # not at the second half of a character beyond the basic plane
+    before_base = rf"(?=[^\x{{dc00}}-\x{{dfff}}](?:{_NOT_PLAIN}{gone})*{_NOT_PLAIN}{marks})"
     return F.split(text, f"{at_special}|{before_base}")
 
 
@@ -66,7 +67,7 @@ def canonical_text(rows: DataFrame, keys: list[str], text: str = "text") -> Data
 
     An empty text stays empty; a text of invisible characters becomes empty; line feeds are kept;
     letter case, accents, digits and punctuation are kept; several spaces are not one. Hangul
-    syllables are not taken apart. A very long text is one group of one task, as it is one row.
+    syllables are taken apart into their letters. A very long text is one group of one task, as it is one row.
     """
     base = rows.select(*keys, F.col(text).alias(text)).where(F.col(text).isNotNull())
     plain = base.where(~has_special(F.col(text))).withColumn("canonical", F.col(text))

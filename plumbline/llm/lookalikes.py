@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import unicodedata as ud
@@ -17,6 +18,7 @@ LOOKALIKES = {
     "‐": "-", "‑": "-",
 }
 
+_SYLLABLES = re.compile("[\uac00-\ud7a3]+")
 #: Compatibility forms that are drawn like the ordinary characters.
 ALIKE_TAGS = ("<wide>", "<narrow>", "<noBreak>", "<compat>", "<square>")
 #: Format characters that are drawn.
@@ -34,9 +36,9 @@ def _cache() -> dict:
 
 
 def _decompose(ch: str) -> str:
-    """Full decomposition by canonical and alike forms, each part folded; Hangul syllables stay whole."""
+    """Full decomposition by canonical and alike forms, each part folded; Hangul syllables become their letters."""
     if 0xAC00 <= ord(ch) <= 0xD7A3:
-        return ch
+        return ud.normalize("NFD", ch)
     d = ud.decomposition(ch)
     if d:
         tag, _, rest = d.partition(" ") if d.startswith("<") else ("", "", d)
@@ -106,11 +108,17 @@ def compositions() -> dict[str, str]:
     return out
 
 
+def _composed(text: str) -> str:
+    """Canonical composition, but for Hangul, whose letters stay apart."""
+    text = ud.normalize("NFC", text)
+    return _SYLLABLES.sub(lambda m: ud.normalize("NFD", m[0]), text)
+
+
 def special_characters() -> str:
     """Characters that keep a text from being its own canonical form: all marks, and all whose form differs alone."""
     own = _cache().get("special")
     if own is None:
-        own = "".join(c for c, to in char_map().items() if ud.normalize("NFC", to) != c) + "".join(mark_classes())
+        own = "".join(c for c, to in char_map().items() if _composed(to) != c) + "".join(mark_classes())
         _cache()["special"] = own
     return own
 
@@ -147,4 +155,4 @@ def fold(text: str) -> str:
         kept["special_set"] = frozenset(special_characters())
     if kept["special_set"].isdisjoint(text):
         return text
-    return ud.normalize("NFC", text.translate(table))
+    return _composed(text.translate(table))
