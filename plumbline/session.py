@@ -50,3 +50,12 @@ def bounded_list(df: DataFrame, column: str, bound: int) -> list:
     if len(rows) > bound:
         raise ValueError(f"{column} has more than {bound} distinct values; this column must be a small dimension")
     return sorted(r[0] for r in rows)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores where its files have too few parts for that; large inputs come back as they are.
+
+    Hashing by ``key`` and the content of nothing else keeps the parts the same when a task runs again.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
