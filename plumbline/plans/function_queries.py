@@ -72,10 +72,12 @@ def _(s, d):
     return read_table(s, d, "products").select("row_id", identity.identity_key_column("product_name", compatibility=False).alias("key"))
 
 
-@query("str03_one_line", "select doc_id, trim(regexp_replace(text, '[\\s\\x{0B}\\x{85}\\p{Z}]+', ' ', 'g')) as line from documents where length(text) < 500 and regexp_full_match(text, '[\\x{20}-\\x{7E}\\n\\r\\t]*')")
+_SPACES = "[\\s\\x{0B}\\x{85}\\p{Z}]+"
+
+
+@query("str03_one_line", f"select doc_id, trim(regexp_replace(text, '{_SPACES}', ' ', 'g')) as line from documents")
 def _(s, d):
-    docs = read_table(s, d, "documents").where((F.length("text") < 500) & F.col("text").rlike(r"^[\x20-\x7E\n\r\t]*$"))
-    return docs.select("doc_id", scalars.one_line("text").alias("line"))
+    return read_table(s, d, "documents").select("doc_id", scalars.one_line("text").alias("line"))
 
 
 @query("str06_slugs")
@@ -83,10 +85,13 @@ def _(s, d):
     return read_table(s, d, "products").select("row_id", identity.path_udf()("product_id").alias("path"))
 
 
-@query("str08_table_cells", "select fact_id, replace(replace(replace(replace(replace(trim(regexp_replace(name, '\\s+', ' ', 'g')), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\\', '\\\\'), '|', '\\|') as cell from fact_item where name is not null and regexp_full_match(name, '[\\x{20}-\\x{7E}]*')")
+def _cell(c: str) -> str:
+    return f"replace(replace(replace(replace(replace(trim(regexp_replace({c}, '{_SPACES}', ' ', 'g')), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\\', '\\\\'), '|', '\\|')"
+
+
+@query("str08_table_cells", f"select fact_id, {_cell('name')} as cell from fact_item")
 def _(s, d):
-    rows = read_table(s, d, "fact_item").where(F.col("name").rlike(r"^[\x20-\x7E]*$"))
-    return rows.select("fact_id", scalars.table_cell("name").alias("cell"))
+    return read_table(s, d, "fact_item").select("fact_id", scalars.table_cell("name").alias("cell"))
 
 
 @query("str09_categories", "select distinct category, trim(category) as broad from fact_item where category is not null")
@@ -162,11 +167,11 @@ def _(s, d):
     return read_table(s, d, "fact_item").select("fact_id", scalars.finite("confidence").alias("confidence"))
 
 
-@query("mth04_rank_scores", "select l_orderkey, l_linenumber, 1.0 - (l_linenumber - 1)::double / count(*) over (partition by l_orderkey) as score from lineitem where l_orderkey % 20 = 7")
+@query("mth04_rank_scores", "select l_orderkey, l_linenumber, 1.0 - (l_linenumber - 1)::double / count(*) over (partition by l_orderkey) as score from lineitem")
 def _(s, d):
     from pyspark.sql import Window
 
-    rows = read_table(s, d, "lineitem").where("l_orderkey % 20 = 7")
+    rows = read_table(s, d, "lineitem")
     n = F.count(F.lit(1)).over(Window.partitionBy("l_orderkey"))
     return rows.select("l_orderkey", "l_linenumber", scalars.rank_score((F.col("l_linenumber") - 1).cast("double"), n).alias("score"))
 
@@ -179,22 +184,21 @@ def _(s, d):
     return docs.join(p, "product_id").where(identity.names_model("text", "model")).select("doc_id", "model").distinct()
 
 
-@query("txt02_model_fragments", "select row_id, array_to_string(list_distinct(list_sort(list_transform(list_filter(regexp_extract_all(product_name, '[A-Za-z0-9]+(?:-[A-Za-z0-9]+)+'), lambda x: regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]') and length(x) >= 5), lambda x: upper(x)))), ',') as models from products where product_name is not null and len(list_filter(regexp_extract_all(product_name, '[A-Za-z0-9]+(?:-[A-Za-z0-9]+)+'), lambda x: regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]') and length(x) >= 5)) = 1")
+@query("txt02_model_fragments", "select row_id, array_to_string(list_sort(list_distinct(list_transform(list_filter(regexp_extract_all(product_name, '[A-Za-z0-9]+(?:-[A-Za-z0-9]+)+'), lambda x: regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]') and length(x) >= 5), lambda x: upper(x)))), ',') as models from products where product_name is not null")
 def _(s, d):
-    found = identity.model_fragments("product_name")
-    return read_table(s, d, "products").where("product_name is not null").select("row_id", found.alias("m")).where(F.size("m") == 1).select("row_id", F.array_join("m", ",").alias("models"))
+    return read_table(s, d, "products").where("product_name is not null").select("row_id", F.array_join(F.array_sort(identity.model_fragments("product_name")), ",").alias("models"))
 
 
-@query("txt14_extract_cap", "select fetch_id, length(left(content, 1000)) as kept, sha256(content) as sha256, length(content) > 1000 as cut from web_fetch_exa where content is not null")
+@query("txt14_extract_cap", "select fetch_id, length(left(content, 30000)) as kept, sha256(content) as sha256, length(content) > 30000 as cut from web_fetch_exa where content is not null")
 def _(s, d):
     rows = read_table(s, d, "web_fetch_exa").where("content is not null")
-    return rows.select("fetch_id", F.length(F.left("content", F.lit(1000))).alias("kept"), F.sha2("content", 256).alias("sha256"), (F.length("content") > 1000).alias("cut"))
+    return rows.select("fetch_id", F.length(F.left("content", F.lit(30000))).alias("kept"), F.sha2("content", 256).alias("sha256"), (F.length("content") > 30000).alias("cut"))
 
 
-@query("rnd03_spec_tables", "select product_id, '| Name | Value |\n|---|---|\n' || string_agg('| ' || n || ' | ' || v || ' |', '\n' order by n, v) as page from (select distinct product_id, trim(name) as n, trim(value) as v from fact_item where product_id is not null and unit = 'kg' and regexp_full_match(name || value, '[A-Za-z0-9. ]*')) group by product_id")
+@query("rnd03_spec_tables", f"select product_id, '| Name | Value |\n|---|---|\n' || string_agg('| ' || n || ' | ' || v || ' |', '\n' order by n, v) as page from (select distinct product_id, {_cell('name')} as n, {_cell('value')} as v from fact_item where product_id is not null and name is not null and value is not null) group by product_id")
 def _(s, d):
     """Specification tables of products as Markdown: rows sorted, escaped, repeated facts once."""
-    rows = read_table(s, d, "fact_item").where((F.col("unit") == "kg") & F.col("product_id").isNotNull() & F.concat("name", "value").rlike("^[A-Za-z0-9. ]*$"))
+    rows = read_table(s, d, "fact_item").where("product_id is not null and name is not null and value is not null")
     cells = rows.select("product_id", F.struct(scalars.table_cell("name").alias("n"), scalars.table_cell("value").alias("v")).alias("c")).distinct()
     line = lambda c: F.concat(F.lit("| "), c["n"], F.lit(" | "), c["v"], F.lit(" |"))
     table = F.array_join(F.transform(F.array_sort(F.collect_list("c")), line), "\n")

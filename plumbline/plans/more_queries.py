@@ -82,9 +82,9 @@ def _(s, d):
     return products(s, d).where("product_id = 'P-0000010'").select("row_id", "product_name")
 
 
-@query("fil12_slot", "select l_orderkey, l_partkey from lineitem where l_linenumber = 1 and l_returnflag = 'A' and l_orderkey < 500")
+@query("fil12_slot", "select l_orderkey, l_partkey from lineitem where l_linenumber = 1 and l_returnflag = 'A' and l_orderkey = 7")
 def _(s, d):
-    return lineitem(s, d).where("l_linenumber = 1 and l_returnflag = 'A' and l_orderkey < 500").select("l_orderkey", "l_partkey")
+    return lineitem(s, d).where("l_linenumber = 1 and l_returnflag = 'A' and l_orderkey = 7").select("l_orderkey", "l_partkey")
 
 
 @query("fil14_narrow_domains", "select distinct lower(web_domain) as domain from brand_registry where regexp_full_match(lower(web_domain), '([a-z0-9]([a-z0-9-]*[a-z0-9])?\\.)+[a-z]{2,}')")
@@ -116,10 +116,10 @@ def _(s, d):
     return rows.groupBy("url").agg(F.sum("n").alias("fetches"), F.sum("b").alias("bodies"), F.count("receipt").alias("receipts"))
 
 
-@query("seq06_history", "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderkey) as step from orders where o_custkey % 50 = 1")
+@query("seq06_history", "select o_custkey, o_orderkey, row_number() over (partition by o_custkey order by o_orderkey) as step from orders")
 def _(s, d):
     step = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    return orders(s, d).where("o_custkey % 50 = 1").select("o_custkey", "o_orderkey", step.alias("step"))
+    return orders(s, d).select("o_custkey", "o_orderkey", step.alias("step"))
 
 
 @query("top02_fair_pick", "select o_orderkey from orders order by case o_orderstatus when (case when (select max(o_orderkey) from orders) % 5 >= 4 then 'P' else 'O' end) then 0 when 'F' then 2 else 1 end, o_orderdate, o_orderkey limit 1")
@@ -186,9 +186,12 @@ def _(s, d):
     return pages(s, d).where("content is null or fetch_status <> 'success'").select("fetch_id", "url", "fetch_status")
 
 
-@query("str04_clean_terms", "select row_id, left(trim(regexp_replace(regexp_replace(product_name, '[\"“”]', '', 'g'), '\\s+', ' ', 'g')), 120) as term from products where regexp_full_match(product_name, '[\\x{20}-\\x{7E}]*')")
+_SPACES = "[\\s\\x{0B}\\x{85}\\p{Z}]+"
+
+
+@query("str04_clean_terms", f"select row_id, left(trim(regexp_replace(regexp_replace(regexp_replace(product_name, '\\p{{Cc}}', ' ', 'g'), '[\"“”]', '', 'g'), '{_SPACES}', ' ', 'g')), 120) as term from products")
 def _(s, d):
-    return products(s, d).where(F.col("product_name").rlike(r"^[\x20-\x7E]*$")).select("row_id", scalars.clean_term("product_name").alias("term"))
+    return products(s, d).select("row_id", scalars.clean_term("product_name").alias("term"))
 
 
 @query("str20_first_of", "select row_id, coalesce(nullif(trim(product_name), ''), nullif(trim(family_code), ''), product_id) as label from products")
@@ -196,11 +199,11 @@ def _(s, d):
     return products(s, d).select("row_id", F.coalesce(F.nullif(F.trim("product_name"), F.lit("")), F.nullif(F.trim("family_code"), F.lit("")), "product_id").alias("label"))
 
 
-@query("hsh03_request_fingerprints", "select l_orderkey, l_linenumber, sha256('{\"action\":\"' || l_returnflag || '\",\"request\":\"' || l_partkey || '\"}') as fingerprint from lineitem where l_orderkey < 2000")
+@query("hsh03_request_fingerprints", "select l_orderkey, l_linenumber, sha256('{\"action\":\"' || l_returnflag || '\",\"request\":\"' || l_partkey || '\"}') as fingerprint from lineitem")
 def _(s, d):
     from plumbline.functions.canonical import canonical_json
 
-    rows = lineitem(s, d).where("l_orderkey < 2000")
+    rows = lineitem(s, d)
     return rows.select("l_orderkey", "l_linenumber", F.sha2(canonical_json({"action": F.col("l_returnflag"), "request": F.col("l_partkey").cast("string")}), 256).alias("fingerprint"))
 
 

@@ -203,9 +203,9 @@ def _(s, d):
     return last.where("o_orderstatus = 'O'").orderBy("o_orderkey").limit(50).select("o_custkey", "o_orderkey")
 
 
-@query("jn07_action_history", "select l_orderkey, l_linenumber, l_returnflag, o_custkey from lineitem join orders on l_orderkey = o_orderkey where o_custkey % 10 = 3")
+@query("jn07_action_history", "select l_orderkey, l_linenumber, l_returnflag, o_custkey from lineitem join orders on l_orderkey = o_orderkey")
 def _(s, d):
-    return lineitem(s, d).join(orders(s, d).where("o_custkey % 10 = 3"), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_returnflag", "o_custkey")
+    return lineitem(s, d).join(orders(s, d), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_returnflag", "o_custkey")
 
 
 @query("jn09_prior_unresolved", "select a.o_orderkey, count(*) as n_other from orders a join orders b on a.o_custkey = b.o_custkey and a.o_orderkey <> b.o_orderkey and b.o_orderstatus = 'P' group by a.o_orderkey")
