@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.lookalikes import fold
 from plumbline.operators.skew import join_hot
+from plumbline.session import spread
 
 SURE = 3
 MIN_VOTES = 3
@@ -186,7 +187,7 @@ def line_verdicts(pages: DataFrame) -> DataFrame:
 
     host = F.regexp_replace(F.lower(F.coalesce(F.regexp_extract("url", r"://([^/]*)", 1), F.lit(""))), r"^www\.", "")
     lines = (
-        pages.select("fetch_id", "url", "content")
+        spread(pages.select("fetch_id", "url", "content"), "fetch_id")
         .where(F.col("content").isNotNull())
         .select("fetch_id", host.alias("host"), F.explode(_scored_udf()("url", "content")).alias("l"))
         .select("fetch_id", "host", "l.*")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.lookalikes import fold
+from plumbline.session import spread
 
 RUN = 13
 BLOCK = 32
@@ -190,7 +191,7 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = RUN, block_i
     spark = documents.sparkSession
     table = items.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
     blocks = max(1, -(-table.count() // block_items))
-    docs = documents.select("doc_id", "text").where(F.col("text").isNotNull())
+    docs = spread(documents.select("doc_id", "text"), "doc_id").where(F.col("text").isNotNull())
     result = None
     for b in range(blocks):
         part = table if blocks == 1 else table.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import tokens
+from plumbline.session import spread
 
 CAPACITY = 2048
 OPEN_BINS = 512
@@ -99,7 +100,7 @@ def token_sizes(documents: DataFrame, tokenizer: str | None = None) -> DataFrame
 
     # not deterministic in the planner's sense only: it must not repeat the count to filter by it
     once = size.asNondeterministic()
-    return documents.select("doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", once("text").alias("n_tokens"))
+    return spread(documents.select("doc_id", "text"), "doc_id").where(F.col("text").isNotNull()).select("doc_id", once("text").alias("n_tokens"))
 
 
 def pack_documents(documents: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, tokenizer: str | None = None) -> DataFrame:

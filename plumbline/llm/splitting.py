@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import tokens
+from plumbline.session import spread
 
 LIMIT = 512
 OVERLAP = 64
@@ -134,4 +135,4 @@ def split_documents(documents: DataFrame, limit: int = LIMIT, overlap: int = OVE
         counter = tokens.counter(tokenizer)
         return pd.Series([split_text(t, limit, overlap, counter) for t in text], dtype=object)
 
-    return documents.select("doc_id", "text").where(F.col("text").isNotNull()).select("doc_id", F.explode(pieces("text")).alias("p")).select("doc_id", "p.*")
+    return spread(documents.select("doc_id", "text"), "doc_id").where(F.col("text").isNotNull()).select("doc_id", F.explode(pieces("text")).alias("p")).select("doc_id", "p.*")
