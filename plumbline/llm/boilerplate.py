@@ -77,7 +77,7 @@ def page_model(url: str, lines: list[str], found: list[list[str]]) -> str | None
     if not seen:
         return None
     bare = (url or "").upper().replace("-", "")
-    named = [m for m in seen if m.replace("-", "") in bare]
+    named = [m for m in seen if m in bare]
     return max(named or seen, key=lambda m: (seen[m], m))
 
 
@@ -100,7 +100,7 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
     if len(raw) != content.count("\n") + 1:  # other line separators do not count
         raw = [fold(line).replace("\n", " ") for line in content.split("\n")]
     lines = [line.strip() for line in raw]
-    found = [[m.upper() for m in MODEL.findall(line)] for line in lines]
+    found = [[m.upper().replace("-", "") for m in MODEL.findall(line)] for line in lines]
     model = page_model(url or "", lines, found)
     out: list[tuple[int, str, int]] = []
     in_head, box, box_left = True, "", 0
