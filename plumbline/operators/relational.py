@@ -45,8 +45,8 @@ def leading_streak(df: DataFrame, key: str, order: list[str], matches: Column, l
 
 def distinct_streak(df: DataFrame, key: str, order: str, outcome: str, wanted: str, limit: int) -> DataFrame:
     """One row: number of distinct keys in the newest unbroken run of ``wanted``, at most ``limit``."""
-    last_other = df.agg(F.max(F.when(~F.col(outcome).eqNullSafe(wanted), F.col(order))).alias("_stop"))
-    run = df.crossJoin(F.broadcast(last_other)).where(F.col("_stop").isNull() | (F.col(order) > F.col("_stop")))
+    last_other = df.agg(F.max(F.when(~F.col(outcome).eqNullSafe(wanted), F.col(order))).alias("_stop")).scalar()
+    run = df.where(last_other.isNull() | (F.col(order) > last_other))
     return run.agg(F.least(F.countDistinct(key), F.lit(limit)).alias("streak"))
 
 

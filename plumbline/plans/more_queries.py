@@ -125,10 +125,10 @@ def _(s, d):
 @query("top02_fair_pick", "select o_orderkey from orders order by case o_orderstatus when (case when (select max(o_orderkey) from orders) % 5 >= 4 then 'P' else 'O' end) then 0 when 'F' then 2 else 1 end, o_orderdate, o_orderkey limit 1")
 def _(s, d):
     o = orders(s, d)
-    turn = o.agg((F.max("o_orderkey") % 5 >= 4).alias("_late"))
-    wanted = F.when(F.col("_late"), "P").otherwise("O")
+    late = o.agg((F.max("o_orderkey") % 5 >= 4).alias("_late")).scalar()
+    wanted = F.when(late, "P").otherwise("O")
     rank = F.when(F.col("o_orderstatus") == wanted, 0).when(F.col("o_orderstatus") == "F", 2).otherwise(1)
-    return o.crossJoin(F.broadcast(turn)).orderBy(rank, "o_orderdate", "o_orderkey").limit(1).select("o_orderkey")
+    return o.orderBy(rank, "o_orderdate", "o_orderkey").limit(1).select("o_orderkey")
 
 
 @query("top05_best_events", "select event_id from events order by value desc nulls last, event_id limit 25")

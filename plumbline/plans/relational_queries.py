@@ -369,8 +369,8 @@ def _(s, d):
 @query("seq03_distinct_streak", "select least(count(distinct o_custkey), 5) as streak from orders where o_orderkey > coalesce((select max(o_orderkey) from orders where o_orderstatus <> (select o_orderstatus from orders order by o_orderkey desc limit 1)), -1)")
 def _(s, d):
     o = orders(s, d)
-    newest = o.agg(F.max(F.struct("o_orderkey", "o_orderstatus"))["o_orderstatus"].alias("_w"))
-    return rel.distinct_streak(o.crossJoin(F.broadcast(newest)).withColumn("_same", F.when(F.col("o_orderstatus") == F.col("_w"), "y").otherwise("n")), "o_custkey", "o_orderkey", "_same", "y", 5)
+    newest = o.agg(F.max(F.struct("o_orderkey", "o_orderstatus"))["o_orderstatus"].alias("_w")).scalar()
+    return rel.distinct_streak(o.withColumn("_same", F.when(F.col("o_orderstatus") == newest, "y").otherwise("n")), "o_custkey", "o_orderkey", "_same", "y", 5)
 
 
 @query("seq04_latest_error", "select user_id, event_id, ts, ts + interval 6 hour as expires_at from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events where event_type = 'error') where rn = 1")
