@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import boilerplate, canonical, leaks, packing, registry_match, splitting
+from plumbline.llm.sql import ORACLES  # noqa: F401
 from plumbline.session import read_table
 
 
@@ -54,4 +55,3 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_canonical_names": p2_canonical_names, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p6_found": p6_found, "p6_main_text": p6_main_text, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}
-ORACLES: dict[str, str] = {}
