@@ -3,8 +3,9 @@
 The pages come as lines of text. A line's markup (bullet, heading, table row, list of links, prose)
 and its words with models and numbers masked are its path, as tag and class are for a node. On each
 page the containers (head before the title, boxes after a box label, lists of links, tables, prose)
-score their lines; per host the scores vote on every path; lines whose own page leaves them open are
-then taken or left as the host's vote on their path says.
+score their lines; per host the share of pages that carry a path and its place on them (outside or
+among the lines about the product) vote on every path. Lines whose own page leaves them open are then
+taken or left as the vote on their path says. Words of page furniture are one weak score.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 from hashlib import blake2b
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.lookalikes import fold
@@ -21,8 +22,11 @@ from plumbline.operators.skew import join_hot
 from plumbline.session import spread
 
 SURE = 3
-MIN_VOTES = 3
-MIN_CONSTANT = 8
+UNTITLED, HEAD = 2, 3
+Z = 2.58  # bounds of shares hold with 99 %
+OUTSIDE_SHARE = 0.3
+ANY_SHARE = 0.5
+RARE_SHARE = 0.1
 
 # Words of page furniture in five languages, lower case.
 LABELS = {
@@ -64,6 +68,8 @@ _BULLET = re.compile(r"^([-*•]|\d{1,2}\.)\s+")
 _ADDRESS = re.compile(r"^[^,.|:]{2,40}, [^,.|:]{3,40}, [^,.|:0-9]{2,40}$")
 _DATA = re.compile(r"(\d\S*(\s?[^\W\d_°%]{1,3}|\s?[%°]\S{0,2})?|[A-Z]{2,3}\d{1,2})$")
 _CONTENTS = re.compile(r"^\d{1,2}\s+\S+(\s\S+)?$")
+_WORDS = re.compile(r"[^\W_]+")
+_TRAIL = re.compile(r"\s[>»/]\s")
 _DIGITS = re.compile(r"\d+([.,:]\d+)*")
 
 
@@ -94,16 +100,22 @@ def is_links(line: str) -> bool:
     return len(items) >= 3 and all(len(i.split()) <= 4 for i in items)
 
 
-def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
-    """(line_no, path, score) of each visible line; scores of SURE and above are main text, of -SURE and below furniture."""
+def line_scores(url: str | None, content: str) -> list[tuple[int, str, int, int, str]]:
+    """(line_no, path, score, place, said) of each visible line; scores of SURE and above are main text, of -SURE and below furniture.
+
+    place: 0 among the page's sure main lines, 1 after them, 2 on a page that names no product, 3
+    before the title. said: the line with its numbers and models where the path masks any, else ''.
+    """
     raw = fold(content).split("\n")
     if len(raw) != content.count("\n") + 1:  # other line separators do not count
         raw = [fold(line).replace("\n", " ") for line in content.split("\n")]
     lines = [line.strip() for line in raw]
     found = [[m.upper().replace("-", "") for m in MODEL.findall(line)] for line in lines]
     model = page_model(url or "", lines, found)
-    out: list[tuple[int, str, int]] = []
-    in_head, box, box_left = True, "", 0
+    untitled = False
+    out: list[tuple[int, str, int, int, str]] = []
+    phrased: set[int] = set()
+    in_head, box, box_left = not untitled, "", 0
     for no, line in enumerate(lines):
         if not line:
             continue
@@ -119,8 +131,9 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
         news = bool(NEWS.match(line))
         button = low.strip("*-• ") in _BUTTON
         label = _BOX.get(low.rstrip(":"), "")
-        furniture = news or button or "↑" in line or line.startswith("©") or "★" in line or (not own and (has_phrase(low) or _ADDRESS.match(line) is not None))
-        data = not sentence and not links and n_words <= 8 and _DATA.search(body) is not None
+        furniture = news or "↑" in line or line.startswith("©") or "★" in line or (not own and _ADDRESS.match(line) is not None)
+        weak = button or (not own and has_phrase(low))
+        data = not sentence and not links and not weak and n_words <= 8 and _DATA.search(body) is not None
         score = 0
         if in_head and own and not links and not news and not furniture and not (box and not sentence and not line.startswith("#")):
             in_head, box = False, ""
@@ -140,7 +153,8 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
         elif box == "related" and models and not own and not sentence and not table:
             score = -SURE
         else:
-            box = ""
+            if not weak:
+                box = ""
             if own:
                 score = SURE
             elif table:
@@ -153,17 +167,34 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int]]:
                 score = 2
             elif bullet and n_words <= 3:
                 score = -1
+            if weak and not own:
+                score = min(score, 2) - 2
+                phrased.add(len(out))
+            if untitled:
+                score = min(score, 2) - 1
         masked = MODEL.sub("M", low) if models else low
         kind = "links" if links else "table" if table else "data" if data else bullet.group(1)[-1] if bullet else "prose" if sentence else "line"
-        out.append((no, kind + " " + _DIGITS.sub("#", masked), score))
-    return out
+        masked = _DIGITS.sub("#", masked)
+        out.append((no, kind + " " + masked, score, UNTITLED if untitled else HEAD if in_head else 1, low if masked != low else ""))
+    sure = [i for i, line in enumerate(out) if line[2] >= SURE]
+    first, last = (sure[0], sure[-1]) if sure else (len(out), len(out))
+    # after the last line about the product a furniture word says a little more
+    return [(no, path, score - (i in phrased and i > last), 0 if first <= i <= last else place, said) for i, (no, path, score, place, said) in enumerate(out)]
 
 
-LINES = "array<struct<line_no:int,path:bigint,score:int>>"
+LINES = "array<struct<line_no:int,path:bigint,said:bigint,score:int,place:int,data:boolean,once:boolean>>"
 
 
-def _hashed(url: str | None, content: str) -> list[tuple[int, int, int]]:
-    return [(no, int.from_bytes(blake2b(path.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True), s) for no, path, s in line_scores(url, content)]
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def _hashed(url: str | None, content: str) -> list[tuple[int, int, int, int, int, bool, bool]]:
+    out, seen = [], set()
+    for no, path, score, place, said in line_scores(url, content):
+        out.append((no, _hash(path), _hash(said) if said else 0, score, place, path.startswith("data "), path not in seen))
+        seen.add(path)
+    return out
 
 
 def _scored_udf():
@@ -174,14 +205,45 @@ def _scored_udf():
     return scored
 
 
+def share_bound(k: Column, n: Column, side: int) -> Column:
+    """Wilson bound of the share k/n, the lower one for side -1 and the upper one for side 1: few pages prove little."""
+    q = k / n
+    return (q + Z * Z / (2 * n) + side * Z * F.sqrt(q * (1 - q) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+
+
+def path_votes(lines: DataFrame) -> DataFrame:
+    """host, path, n (rows), vote: -1 furniture, 1 a line that hardly any page of the host carries, 0 undecided.
+
+    What most pages of a host carry word for word is furniture, and so is what a large share of them
+    carries mostly outside the lines about the product; data lines there only if their numbers never
+    change. A path that is furniture where most of its pages are is furniture on other hosts too.
+    """
+    paths = lines.groupBy("host", "path").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("once").alias("carried"), F.count_if(F.col("place") > 0).alias("outside"),
+        (F.min("said") == F.max("said")).alias("constant"), F.max("data").alias("data"),
+    )
+    hosts = lines.groupBy("host").agg(F.count_if("first").alias("pages"))
+    paths = join_hot(paths, hosts.withColumn("_weight", F.col("pages")), "host", "_weight")
+    low = share_bound(F.col("carried"), F.col("pages"), -1)
+    around = (low >= OUTSIDE_SHARE) & (2 * F.col("outside") >= F.col("n")) & (F.col("constant") | ~F.col("data"))
+    paths = paths.withColumn("furniture", ((low >= ANY_SHARE) & F.col("constant")) | around)
+    everywhere = paths.groupBy("path").agg(F.sum("carried").alias("all"), F.sum(F.when(F.col("furniture"), F.col("carried")).otherwise(0)).alias("as_furniture"))
+    general = everywhere.where(share_bound(F.col("as_furniture"), F.col("all"), -1) >= 0.5).select("path", F.lit(True).alias("general"))
+    rare = share_bound(F.col("carried"), F.col("pages"), 1) <= RARE_SHARE
+    vote = F.when(F.col("furniture") | F.col("general").isNotNull(), -1).when(rare, 1).otherwise(0)
+    return paths.join(general, "path", "left").select("host", "path", "n", vote.alias("vote"))
+
+
 def line_verdicts(pages: DataFrame) -> DataFrame:
     """(fetch_id, line_no, is_main): one row per visible line of each page with content.
 
     Lines are counted from 0 at line feeds; a line of white space and invisible characters has no row.
-    Null and empty contents have no line. A page without a title of a product (a pure consent page) has
-    no main text. A null or odd url belongs to the host ''. Repeated pages vote each; a page that is
-    fetched twice gets its verdicts twice. Votes are summed before they are shuffled, and only open
-    lines meet them, the most frequent paths by broadcast: a host with a third of all pages is spread.
+    Null and empty contents have no line. A page that names no product by designation, heading or url
+    words has no head; it is a pure consent page if at least half of its lines are furniture by vote or
+    score, and then has no main text. A null or odd url belongs to the host ''. Repeated pages vote
+    each; a page that is fetched twice gets its verdicts twice. Votes are summed before they are
+    shuffled, and only open lines meet them, the most frequent paths by broadcast: a host with a third
+    of all pages is spread.
     """
     from plumbline.session import cut
 
@@ -189,25 +251,22 @@ def line_verdicts(pages: DataFrame) -> DataFrame:
     lines = (
         spread(pages.select("fetch_id", "url", "content"), "fetch_id")
         .where(F.col("content").isNotNull())
-        .select("fetch_id", host.alias("host"), F.explode(_scored_udf()("url", "content")).alias("l"))
-        .select("fetch_id", "host", "l.*")
+        .select("fetch_id", host.alias("host"), F.posexplode(_scored_udf()("url", "content")).alias("pos", "l"))
+        .select("fetch_id", "host", (F.col("pos") == 0).alias("first"), "l.*")
     )
     lines = cut(lines)
-    votes = lines.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
-    everywhere = votes.groupBy("path").agg(F.sum("n").alias("n_all"), F.max("n").alias("n_most"))
-    # a path seen once or twice decides nothing
-    votes = votes.where(F.col("n") >= MIN_VOTES).join(everywhere, "path")
-    mean = F.col("total") / F.col("n")
     key = F.concat_ws("\x01", "host", F.col("path").cast("string"))
-    verdict = votes.select(
-        key.alias("_key"), "n",
-        F.when(mean >= 2, 1).when(mean <= -2, -1).when((F.col("n") >= MIN_CONSTANT) & (F.col("n") >= 0.9 * F.col("n_all")), -2).otherwise(0).alias("vote"),
-    )
+    verdict = path_votes(lines).select(key.alias("_key"), "n", "vote")
     sure = lines.where(F.abs("score") >= SURE).select("fetch_id", "line_no", (F.col("score") > 0).alias("is_main"))
-    unsure = join_hot(lines.where(F.abs("score") < SURE).withColumn("_key", key).select("fetch_id", "line_no", "score", "_key"), verdict, "_key", "n")
-    # -2: the same words on one host's pages and nowhere else, which counts where the page itself says nothing
-    said = F.when(F.col("vote") == -1, False).when(F.col("vote") == 1, True).when((F.col("vote") == -2) & (F.col("score") <= 1), False).otherwise(F.col("score") >= 0)
-    return sure.unionByName(unsure.select("fetch_id", "line_no", said.alias("is_main")))
+    unsure = join_hot(lines.where(F.abs("score") < SURE).withColumn("_key", key).select("fetch_id", "line_no", "score", "place", "_key"), verdict, "_key", "n")
+    # before the title only a sentence that the host does not repeat is main text
+    back = F.when((F.col("place") == HEAD) & (F.col("vote") == 1), 1).otherwise(0)
+    said = (F.col("vote") != -1) & (F.col("score") + back >= 0)
+    unsure = unsure.select("fetch_id", "line_no", "place", said.alias("is_main"))
+    titled = unsure.where(F.col("place") != UNTITLED).select("fetch_id", "line_no", "is_main")
+    kept = F.avg(F.col("is_main").cast("int")).over(Window.partitionBy("fetch_id"))
+    untitled = unsure.where(F.col("place") == UNTITLED).select("fetch_id", "line_no", (F.col("is_main") & (kept > 0.5)).alias("is_main"))
+    return sure.unionByName(titled).unionByName(untitled)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -50,3 +50,22 @@ def test_main_text(spark):
     df = spark.createDataFrame([(1, "https://a.example/p/abc-12d-3efg", PAGE), (2, None, "Accept all"), (3, None, None)], "fetch_id bigint, url string, content string")
     got = {r.fetch_id: r.main_text for r in bp.main_text(df).collect()}
     assert got == {1: "\n".join(x for n, x in enumerate(PAGE.split("\n")) if n in MAIN), 2: ""}
+
+
+def test_repeated_lines_without_a_known_phrase_are_furniture(spark):
+    # no list holds these words: the host's pages carry them, and another host's own sentence stays
+    said = "Lorenz makes fine awnings for every balcony in the valley."
+    pages = [(i, f"https://a.example/p/abc-1{i}d-3efg", f"ABC-1{i}D-3EFG\nThe ABC-1{i}D-3EFG is light and small.\nUnit {'qwertzuiop'[i % 10] * (i - 9)} runs at night without noise at all.\n{said}") for i in range(10, 30)]
+    got = verdicts(spark, pages)
+    assert not any(got[i, 3] for i in range(10, 30)) and all(got[i, 2] for i in range(10, 30))
+
+
+def test_a_known_phrase_alone_is_no_verdict(spark):
+    body = "ABC-12D-3EFG\nThe web server stores one cookie per session on the device.\nThe ABC-12D-3EFG is light and small."
+    assert verdicts(spark, [(1, None, body)])[1, 1]
+
+
+def test_data_lines_with_changing_numbers_stay(spark):
+    pages = [(i, f"https://a.example/p/abc-1{i}d-3efg", f"ABC-1{i}D-3EFG\nThe ABC-1{i}D-3EFG is light.\nWeight: {i} kg\nTel: 555 017") for i in range(10, 40)]
+    got = verdicts(spark, pages)
+    assert all(got[i, 2] and not got[i, 3] for i in range(10, 40))
