@@ -87,6 +87,22 @@ def page_model(url: str, lines: list[str], found: list[list[str]]) -> str | None
     return max(named or seen, key=lambda m: (seen[m], m))
 
 
+def named_title(url: str, lines: list[str]) -> int | None:
+    """The line that names the product where no designation does: a heading by markup, else the line with most words of the url's last part."""
+    for no, line in enumerate(lines):
+        if line.startswith("# ") and len(line) > 2:
+            return no
+    slug = {w for w in _WORDS.findall(re.sub(r"^[^/]*//[^/]*|[?#].*$", "", url.lower()).rstrip("/").rpartition("/")[2])}
+    if len(slug) < 2:
+        return None
+    best, at = 0, None
+    for no, line in enumerate(lines):
+        shared = len(slug & set(_WORDS.findall(line.lower())))
+        if shared > best and 2 * shared >= len(slug) and shared >= 2 and not _TRAIL.search(line) and not is_links(line) and not NEWS.match(line):
+            best, at = shared, no
+    return at
+
+
 def has_phrase(low: str) -> bool:
     """Whether a lower-case line holds a phrase of page furniture; substring search is much faster than one large pattern."""
     return low.startswith(STARTS) or any(p in low for p in PHRASES) or any(w in low and p.search(low) for w, p in OPEN_PHRASES)
@@ -112,7 +128,8 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int, int,
     lines = [line.strip() for line in raw]
     found = [[m.upper().replace("-", "") for m in MODEL.findall(line)] for line in lines]
     model = page_model(url or "", lines, found)
-    untitled = False
+    title = named_title(url or "", lines) if model is None else None
+    untitled = model is None and title is None
     out: list[tuple[int, str, int, int, str]] = []
     phrased: set[int] = set()
     in_head, box, box_left = not untitled, "", 0
@@ -135,10 +152,12 @@ def line_scores(url: str | None, content: str) -> list[tuple[int, str, int, int,
         weak = button or (not own and has_phrase(low))
         data = not sentence and not links and not weak and n_words <= 8 and _DATA.search(body) is not None
         score = 0
+        if no == title:
+            in_head, own, box = False, True, ""
         if in_head and own and not links and not news and not furniture and not (box and not sentence and not line.startswith("#")):
             in_head, box = False, ""
         if in_head:
-            score = -SURE
+            score = -1 if sentence and n_words >= 8 and not weak and not furniture and not links else -2
         elif label:
             box, box_left = label, 1
             score = -SURE
