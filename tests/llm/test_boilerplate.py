@@ -65,12 +65,6 @@ def test_a_known_phrase_alone_is_no_verdict(spark):
     assert verdicts(spark, [(1, None, body)])[1, 1]
 
 
-def test_data_lines_with_changing_numbers_stay(spark):
-    pages = [(i, f"https://a.example/p/abc-1{i}d-3efg", f"ABC-1{i}D-3EFG\nThe ABC-1{i}D-3EFG is light.\nWeight: {i} kg\nTel: 555 017") for i in range(10, 40)]
-    got = verdicts(spark, pages)
-    assert all(got[i, 2] and not got[i, 3] for i in range(10, 40))
-
-
 def test_pages_of_products_without_a_designation(spark):
     body = "The housing is modular and weighs less than before.\nIt runs at night without any noise at all."
     pages = [(1, "https://a.example/p/17", f"Home | Products | News\n# Primo 5.0\n{body}"), (2, "https://b.example/p/sunny-pv-42", f"Home | Products | News\nSunny PV-42\n{body}"), (3, "https://c.example/", body)]
@@ -82,3 +76,21 @@ def test_a_sentence_before_the_title_is_open(spark):
     pages = [(i, f"https://a.example/p/abc-1{i}d-3efg", f"{'We plan for you all of it, here and now.' if i != 50 else 'The lid of this unit opens upwards without any tool.'}\nABC-1{i}D-3EFG\nThe ABC-1{i}D-3EFG is light.") for i in range(10, 99)]
     got = verdicts(spark, pages)
     assert {k for k, main in got.items() if main and k[1] == 0} == {(50, 0)}
+
+
+def test_the_share_of_pages_decides_at_every_size(spark):
+    # a heading on 10 of 100 pages and on 40 of 400 is main text, one on 5 of 5 is furniture
+    def shop(host, n, every, at):
+        return [(at + i, f"https://{host}.example/p", f"ABC-12D-3EFG\nThe ABC-12D-3EFG is light.\n{'Green corner' if i % every == 0 else 'Own words ' + chr(97 + i % 26) * (1 + i // 26)}") for i in range(n)]
+
+    for n in (100, 400):
+        got = verdicts(spark, shop("a", n, 10, 0))
+        assert all(got[i, 2] for i in range(n))
+    got = verdicts(spark, shop("b", 5, 1, 0))
+    assert not any(got[i, 2] for i in range(5))
+
+
+def test_data_lines_with_changing_numbers_stay(spark):
+    pages = [(i, f"https://a.example/p/abc-1{i}d-3efg", f"ABC-1{i}D-3EFG\nThe ABC-1{i}D-3EFG is light.\nWeight: {i} kg\nTel: 555 017") for i in range(10, 40)]
+    got = verdicts(spark, pages)
+    assert all(got[i, 2] and not got[i, 3] for i in range(10, 40))
