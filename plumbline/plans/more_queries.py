@@ -148,6 +148,14 @@ def _(s, d):
     return rows.groupBy("product_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x["n"]), "|").alias("names"))
 
 
+@query("top08_all_specs", "select product_id, string_agg(n, '|' order by lower(c) nulls first, c nulls first, lower(n), n) as names from (select distinct product_id, category as c, name as n from fact_item where product_id is not null and name is not null) group by product_id")
+def _(s, d):
+    """The order of top08_sorted_specs over all facts, whatever their confidence."""
+    rows = facts(s, d).where("product_id is not null and name is not null").select("product_id", "category", "name").distinct()
+    key = F.struct(F.lower("category").alias("lc"), F.col("category").alias("c"), F.lower("name").alias("ln"), F.col("name").alias("n"))
+    return rows.groupBy("product_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x["n"]), "|").alias("names"))
+
+
 @query("top09_source_list", "select product_id, evidence_url from (select product_id, evidence_url, row_number() over (partition by product_id order by (case when ends_with(lower(evidence_url), '.pdf') then 0 else 1 end), lower(evidence_url), evidence_url) as rn from (select distinct product_id, evidence_url from fact_item where evidence_url is not null)) where rn = 1")
 def _(s, d):
     rows = facts(s, d).where("evidence_url is not null").select("product_id", "evidence_url").distinct()
