@@ -344,6 +344,12 @@ def _(s, d):
     return orders(s, d).where("o_custkey < 0").agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("attempt"))
 
 
+@query("agg12_log_max", "select coalesce(max(o_orderkey), 0) as attempt from orders")
+def _(s, d):
+    """The greatest key of the whole log, 0 if it is empty."""
+    return orders(s, d).agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("attempt"))
+
+
 @query("agg14_token_usage", "select event_type, sum((props->>'$.k')::bigint) as k from events where json_valid(props) group by event_type")
 def _(s, d):
     kept = F.explode(F.from_json("props", "map<string,string>")).alias("field", "v")
@@ -463,3 +469,11 @@ def _(s, d):
     a = lineitem(s, d).where("l_quantity > 49").select(F.col("l_orderkey").alias("attempt"), F.lit("ledger").alias("origin"))
     b = orders(s, d).where("o_totalprice > 400000").select(F.col("o_orderkey").alias("attempt"), F.lit("legacy").alias("origin"))
     return a.unionByName(b)
+
+
+@query("set10_whole_union", "select l_orderkey as attempt, 'ledger' as origin from lineitem union all select o_orderkey, 'legacy' from orders")
+def _(s, d):
+    """Every row of the ledger and of the legacy table, whatever its value."""
+    a = lineitem(s, d).select(F.col("l_orderkey").alias("attempt"), F.lit("ledger").alias("origin"))
+    b = orders(s, d).select(F.col("o_orderkey").alias("attempt"), F.lit("legacy").alias("origin"))
+    return a.unionByName(b)
