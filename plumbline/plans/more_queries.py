@@ -44,6 +44,20 @@ def _(s, d):
     return rows.groupBy("product_id").agg(F.coalesce(F.min("c"), F.min("f")).alias("category"))
 
 
+@query("prj06_named_categories")
+def _(s, d):
+    """The category of each product: its decision's, else the first non-blank value of a fact with a category's name at any position."""
+    names = ("product category", "product type", "产品类别", "产品类型")
+    ok = F.coalesce(F.expr("schema_of_variant(v) like 'OBJECT%'"), F.lit(False))
+    text = "case when schema_of_variant(variant_get({0}, '$.{1}')) = 'STRING' then try_variant_get({0}, '$.{1}', 'string') end"
+    pairs = F.expr("transform(try_variant_get(v, '$.facts', 'array<variant>'), x -> struct(try_variant_get(x, '$.name', 'string') as n, " + text.format("x", "value") + " as value))")
+    named = F.filter(pairs, lambda x: F.lower(F.regexp_replace(x["n"], r"^\s+|\s+$", "")).isin(*names) & x["value"].rlike(r"\S"))
+    category = F.expr(text.format("v", "product_category"))
+    rows = completions(s, d).withColumn("v", F.try_parse_json("decision_json")).where(ok & F.col("product_id").isNotNull())
+    rows = rows.select("product_id", F.when(category.rlike(r"\S"), category).alias("c"), F.get(named, F.lit(0))["value"].alias("f"))
+    return rows.groupBy("product_id").agg(F.coalesce(F.min("c"), F.min("f")).alias("category"))
+
+
 @query("prj07_trusted_policy", "select brand_code, lower(web_domain) as domain, array_to_string(list_sort(alias_list), ',') as aliases from brand_registry where web_domain is not null")
 def _(s, d):
     return registry(s, d).where("web_domain is not null").select("brand_code", F.lower("web_domain").alias("domain"), F.array_join(F.array_sort("alias_list"), ",").alias("aliases"))
