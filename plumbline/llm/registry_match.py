@@ -129,7 +129,7 @@ def match_values(values: DataFrame, registry: DataFrame, n_col: str = "n") -> Da
         probes as (  -- value side: the substrings that may hold a segment of a key of that length
           select distinct o.value, o.key, o.rank, s.len, s.k, s.seg, substring(o.key, s.at + d + 1, s.plen) as piece
           from (select *, l, d from open lateral view explode(sequence(greatest(length(key) - 2, 1), length(key) + 2)) x as l
-                                     lateral view explode(array(-2, -1, 0, 1, 2)) y as d where length(key) <= 64) o
+                                     lateral view explode(array(-2, -1, 0, 1, 2)) y as d) o
           join shapes s on s.len = o.l and abs(o.d) <= s.k and abs(o.l - length(o.key)) <= s.k
           where s.at + d >= 0 and s.at + d + s.plen <= length(o.key)),
         near as (
