@@ -1,11 +1,13 @@
 """Main text of web pages: consensus of host paths.
 
-The pages come as lines of text. A line's markup (bullet, heading, table row, list of links, prose)
-and its words with models and numbers masked are its path, as tag and class are for a node. On each
-page the containers (head before the title, boxes after a box label, lists of links, tables, prose)
-score their lines; per host the share of pages that carry a path and its place on them (outside or
-among the lines about the product) vote on every path. Lines whose own page leaves them open are then
-taken or left as the vote on their path says. Words of page furniture are one weak score.
+The pages come as lines of text. A line falls into sentences; a sentence's path is the kind of its
+line (list of links, table row, bullet, prose, other) and its words with numbers, designations and
+capitalised words masked, as tag and class are for a node. On each page the line that names the
+product opens the container of the main text, the last line that names it closes what is sure of it.
+In Spark every path is voted on over all pages of its host and, with less weight, of other hosts: what
+also stands before the title, or never among the lines about the product, is furniture. Then each page
+is extracted again along the winning paths: a line follows the vote on its sentences, an undecided
+line its decided neighbours and its own structure. No list of words takes part.
 """
 
 from __future__ import annotations
@@ -19,273 +21,253 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.lookalikes import fold
 from plumbline.operators.skew import join_hot
-from plumbline.session import spread
-
-SURE = 3
-UNTITLED, HEAD = 2, 3
-Z = 2.58  # bounds of shares hold with 99 %
-OUTSIDE_SHARE = 0.3
-ANY_SHARE = 0.5
-RARE_SHARE = 0.1
-
-# Words of page furniture in five languages, lower case.
-LABELS = {
-    "related": "customers also viewed|related articles|kunden kauften auch|weitere beiträge|potrebbe interessarti|articoli correlati|también le puede interesar|artículos relacionados|vous aimerez aussi|articles liés",
-    "ad": "advertisement|anzeige|werbung|pubblicità|publicidad|publicité|sponsored|gesponsert",
-    "contents": "table of contents|contents|inhalt|inhaltsverzeichnis|indice|sommario|índice|contenido|sommaire|table des matières",
-    "share": "share this page|seite teilen|condividi|compartir|partager",
-    "newsletter": "newsletter|newsletter abonnieren|iscriviti alla newsletter|boletín|lettre d'information",
-}
-BUTTONS = (
-    "facebook|x|linkedin|instagram|youtube|print|drucken|merken|weiterleiten|stampa|salva|imprimir|guardar|imprimer|enregistrer|"
-    "your e-mail|subscribe|ihre e-mail-adresse|absenden|la tua e-mail|invia|su correo electrónico|suscribirse|votre e-mail|s'abonner|"
-    "statistics|marketing|necessary|save selection|agree and close|manage choices|accept all|reject|settings|ok, got it|"
-    "zustimmen|auswahl speichern|alle akzeptieren|ablehnen|einstellungen|verstanden|statistik|"
-    "ho capito|accetta tutti|rifiuta|personalizza|aceptar todo|rechazar|configurar|entendido|j'ai compris|tout accepter|tout refuser|paramétrer"
-)
-PHRASES = (
-    "cookie|privacy|privatsphäre|datenschutz|privacidad|confidentialité|kennungen|small files on your device|"
-    "rights reserved|rechte vorbehalten|diritti riservati|derechos reservados|droits réservés|plus vat|zzgl. mwst|iva esclusa|sin iva|hors tva|"
-    "imprint|impressum|note legali|aviso legal|mentions légales|information on this website|ohne gewähr|senza garanzia|sin garantía alguna|"
-    "follow us|folgen sie uns|seguici|síganos|suivez-nous|choose country|land wählen:|powered by|"
-    "our advisers|unsere berater|nostri consulenti|nuestros asesores|nos conseillers|has planned roofs|progetta tetti|proyecta cubiertas|conçoit des toitures|"
-    "plants a tree|pflanzt|pianta un albero|planta un árbol|plante un arbre|showroom|unsere ausstellung|nuestra exposición|"
-    "sign up as a dealer|händler werden|diventa rivenditore|hágase distribuidor|devenez revendeur|roof days|dachtage|giornate del tetto|jornadas|journées|meet us at stand|"
-    "now in stock|jetzt auf lager|ab sofort|subito disponibile|ya disponible|en stock|read more|mehr lesen|scopri di più|leer más|en savoir plus|"
-    "e-mail|newsletter|ask our experts|rufen sie uns an|chiama|llame al|appelez|registered in|handelsregister|p. iva|registro mercantil|"
-    "add to wish list|back to top|nach oben|torna su|volver arriba|haut de page|recently viewed|zuletzt angesehen|visti di recente|vistos recientemente|vus récemment|consultés récemment|"
-    "errors excepted|satisfied customers|trusted shops"
-).split("|")
-STARTS = ("payment:", "zahlung:", "pagamento:", "pago:", "paiement")
-# phrases with a free part; the first word is looked for first
-OPEN_PHRASES = [("plant ", re.compile(r"\bplant .* dächer")), ("call ", re.compile(r"\bcall \d")), ("rcs", re.compile(r"\brcs\b"))]
-NEWS = re.compile(r"^(tags?|schlagwörter|schlagworte|stichwörter|etichette|etiquetas|mots-clés|étiquettes|new|neu|novità|nuevo|novedad|nouveau|nouveauté|recently viewed|zuletzt angesehen|visti di recente|vistos? reciente\w*|visto recientemente|vus? récemment)\s?:", re.I)
-MODEL = re.compile(r"(?<![^\W_])[A-Za-z]{2,5}-?\d{1,3}[A-Za-z]-?[A-Za-z0-9]{4}(?![^\W_])")
-_BOX = {label: kind for kind, labels in LABELS.items() for label in labels.split("|")}
-_BUTTON = frozenset(BUTTONS.split("|"))
+from plumbline.session import cut
+
+#: Where a line stands: among the lines about the product, behind them, before the title, on a page without title.
+INSIDE, BEHIND, BEFORE, UNTITLED = 0, 1, 2, 3
+#: The structure of a line that names the page's product outside lists of links.
+OWN = 3
+#: Bounds of shares hold with 99 %.
+Z = 2.58
+#: A path is furniture if more than this share of it stands before titles, ...
+BEFORE_SHARE = 0.02
+#: ... or at most INSIDE_SHARE of it among the lines about the product and more than RARE_SHARE of the host's pages carry it.
+INSIDE_SHARE, RARE_SHARE = 0.3, 0.1
+#: A path is main text if it is no furniture and more than this share of it stands among the lines about the product.
+MAIN_SHARE = 0.15
+#: Occurrences on other hosts weigh as much as this number of own ones at most.
+OTHER_HOSTS = 50
+
+_CODE = re.compile(r"(?<![^\W_])(?=[A-Za-z-]*[0-9])[A-Za-z][A-Za-z0-9]*(?:-[A-Za-z0-9]+)*(?![^\W_])")
+_NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
 _LINKS = re.compile(r"\s+[|/>»·•]\s+|\s{2,}")
-_BULLET = re.compile(r"^([-*•]|\d{1,2}\.)\s+")
-_ADDRESS = re.compile(r"^[^,.|:]{2,40}, [^,.|:]{3,40}, [^,.|:0-9]{2,40}$")
+_BULLET = re.compile(r"^(?:[-*•]|\d{1,2}\.)\s+")
+_SENTENCE = re.compile(r"(?<=[.!?…])\s+(?=\d|[^\W_a-zß-öø-ÿ])")
+_CAPITAL = re.compile(r"(?<=\S)([\s\-–'’])[A-ZÀ-ÖØ-ÞΆ-ΫЀ-Я][\w'’&-]*")
+#: Names of several words; a short word may stand between them.
+_NAMES = re.compile(r"N(?:[ -](?:[^\W\d_]{2,3}[ -])?N)+(?!\w)")
 _DATA = re.compile(r"(\d\S*(\s?[^\W\d_°%]{1,3}|\s?[%°]\S{0,2})?|[A-Z]{2,3}\d{1,2})$")
-_CONTENTS = re.compile(r"^\d{1,2}\s+\S+(\s\S+)?$")
 _WORDS = re.compile(r"[^\W_]+")
 _TRAIL = re.compile(r"\s[>»/]\s")
-_DIGITS = re.compile(r"\d+([.,:]\d+)*")
+_SITE = re.compile(r"^[^/]*//[^/]*")
+_TAIL = re.compile(r"[?#].*$")
 
 
-def page_model(url: str, lines: list[str], found: list[list[str]]) -> str | None:
-    """The designation of the page's product: the one in the url if the page has it, else the most frequent one."""
+def designations(line: str) -> list[tuple[str, str]]:
+    """(as written, key) of the product designations of a line: letters first, a digit, and a hyphen or six characters."""
+    out = []
+    for m in _CODE.findall(line):
+        key = m.replace("-", "").upper()
+        if len(key) >= 6 or ("-" in m and len(key) >= 4):
+            out.append((m, key))
+    return out
+
+
+def page_product(site: str, slug: str, found: list[list[tuple[str, str]]]) -> str | None:
+    """The designation of the page's product: one that the url's path holds if there is any, else the most frequent one. The site's name is none."""
     seen: dict[str, int] = {}
-    for line, models in zip(lines, found):
-        if models and not NEWS.match(line):
-            for m in models:
-                seen[m] = seen.get(m, 0) + 1
+    own_site = "".join(_WORDS.findall(site)).upper()
+    for codes in found:
+        for _, key in codes:
+            if key not in own_site:
+                seen[key] = seen.get(key, 0) + 1
     if not seen:
         return None
-    bare = (url or "").upper().replace("-", "")
-    named = [m for m in seen if m in bare]
-    return max(named or seen, key=lambda m: (seen[m], m))
+    bare = "".join(_WORDS.findall(slug)).upper()
+    return max(seen, key=lambda k: (k in bare, seen[k], k))
 
 
-def named_title(url: str, lines: list[str]) -> int | None:
+def named_title(slug: str, lines: list[str], links: list[bool]) -> int | None:
     """The line that names the product where no designation does: a heading by markup, else the line with most words of the url's last part."""
     for no, line in enumerate(lines):
         if line.startswith("# ") and len(line) > 2:
             return no
-    slug = {w for w in _WORDS.findall(re.sub(r"^[^/]*//[^/]*|[?#].*$", "", url.lower()).rstrip("/").rpartition("/")[2])}
-    if len(slug) < 2:
+    wanted = set(_WORDS.findall(_TAIL.sub("", slug.lower()).rstrip("/").rpartition("/")[2]))
+    if len(wanted) < 2:
         return None
     best, at = 0, None
     for no, line in enumerate(lines):
-        shared = len(slug & set(_WORDS.findall(line.lower())))
-        if shared > best and 2 * shared >= len(slug) and shared >= 2 and not _TRAIL.search(line) and not is_links(line) and not NEWS.match(line):
+        shared = len(wanted & set(_WORDS.findall(line.lower())))
+        if shared > best and 2 * shared >= len(wanted) and shared >= 2 and not links[no] and not _TRAIL.search(line):
             best, at = shared, no
     return at
 
 
-def has_phrase(low: str) -> bool:
-    """Whether a lower-case line holds a phrase of page furniture; substring search is much faster than one large pattern."""
-    return low.startswith(STARTS) or any(p in low for p in PHRASES) or any(w in low and p.search(low) for w, p in OPEN_PHRASES)
-
-
 def is_links(line: str) -> bool:
     """A list of links: three or more short items between separators, no sentence and no table row."""
     if line.startswith("|") or line.endswith((".", "!", "?")):
         return False
-    items = [i for i in _LINKS.split(line.strip()) if i]
+    items = [i for i in _LINKS.split(line) if i]
     return len(items) >= 3 and all(len(i.split()) <= 4 for i in items)
 
 
-def line_scores(url: str | None, content: str) -> list[tuple[int, str, int, int, str]]:
-    """(line_no, path, score, place, said) of each visible line; scores of SURE and above are main text, of -SURE and below furniture.
+def skeleton(text: str, codes: list[tuple[str, str]], own: str | None) -> tuple[str, str]:
+    """The masked words of a sentence, and its numbers."""
+    for written, key in codes:
+        text = text.replace(written, "\x02" if key == own else "\x01")
+    text = _NAMES.sub("N", _CAPITAL.sub(r"\1N", text))
+    numbers = _NUMBER.findall(text)
+    return (_NUMBER.sub("#", text) if numbers else text).lower(), " ".join(numbers)
+
 
-    place: 0 among the page's sure main lines, 1 after them, 2 on a page that names no product, 3
-    before the title. said: the line with its numbers and models where the path masks any, else ''.
+def page_lines(url: str | None, content: str) -> list[tuple[int, int, int, int, bool, list[tuple[str, str]]]]:
+    """(line_no, place, structure, words, data, [(path, numbers)]) of each visible line.
+
+    structure: OWN for a line that names the product, 2 for sentences and table rows, 1 for data, 0 for
+    other short lines, below for lists of links and lines that name other products only.
     """
     raw = fold(content).split("\n")
     if len(raw) != content.count("\n") + 1:  # other line separators do not count
         raw = [fold(line).replace("\n", " ") for line in content.split("\n")]
     lines = [line.strip() for line in raw]
-    found = [[m.upper().replace("-", "") for m in MODEL.findall(line)] for line in lines]
-    model = page_model(url or "", lines, found)
-    title = named_title(url or "", lines) if model is None else None
-    untitled = model is None and title is None
-    out: list[tuple[int, str, int, int, str]] = []
-    phrased: set[int] = set()
-    in_head, box, box_left = not untitled, "", 0
+    slug = _SITE.sub("", url or "")
+    links = [is_links(line) for line in lines]
+    found = [designations(line) for line in lines]
+    own = page_product((url or "")[: len(url or "") - len(slug)], slug, found)
+    named = [n for n, codes in enumerate(found) if not links[n] and any(key == own for _, key in codes)] if own else []
+    title = named[0] if named else named_title(slug, lines, links)
+    last = named[-1] if named else title
+    out = []
     for no, line in enumerate(lines):
         if not line:
             continue
-        low = " ".join(line.lower().split())
-        models = found[no]
-        own = model is not None and model in models
         bullet = _BULLET.match(line)
         body = line[bullet.end() :] if bullet else line
-        n_words = len(body.split())
-        sentence = body.endswith((".", "!", "?", "…")) and n_words >= 4
-        links = is_links(line)
+        words = len(body.split())
         table = line.startswith("|") and line.endswith("|") and len(line) > 2
-        news = bool(NEWS.match(line))
-        button = low.strip("*-• ") in _BUTTON
-        label = _BOX.get(low.rstrip(":"), "")
-        furniture = news or "↑" in line or line.startswith("©") or "★" in line or (not own and _ADDRESS.match(line) is not None)
-        weak = button or (not own and has_phrase(low))
-        data = not sentence and not links and not weak and n_words <= 8 and _DATA.search(body) is not None
-        score = 0
-        if no == title:
-            in_head, own, box = False, True, ""
-        if in_head and own and not links and not news and not furniture and not (box and not sentence and not line.startswith("#")):
-            in_head, box = False, ""
-        if in_head:
-            score = -1 if sentence and n_words >= 8 and not weak and not furniture and not links else -2
-        elif label:
-            box, box_left = label, 1
-            score = -SURE
-        elif links or furniture:
-            score = -SURE
-            if box == "ad":
-                box = ""
-        elif box == "ad" and box_left:
-            score, box = -SURE, ""
-        elif box == "contents" and _CONTENTS.match(line):
-            score = -SURE
-        elif box == "related" and models and not own and not sentence and not table:
-            score = -SURE
+        sentence = words >= 4 and body.endswith((".", "!", "?", "…"))
+        data = not table and not sentence and words <= 8 and _DATA.search(body) is not None
+        mine = no == title or any(key == own for _, key in found[no])
+        if links[no]:
+            structure, kind = -2, "links"
+        elif mine:
+            structure, kind = OWN, "own"
+        elif table:
+            structure, kind = 2, "table"
+        elif sentence:
+            structure, kind = 2, "bullet" if bullet else "prose"
         else:
-            if not weak:
-                box = ""
-            if own:
-                score = SURE
-            elif table:
-                score = SURE
-            elif models and not sentence:
-                score = -2
-            elif sentence:
-                score = 1 if n_words < 8 else 2
-            elif data:
-                score = 2
-            elif bullet and n_words <= 3:
-                score = -1
-            if weak and not own:
-                score = min(score, 2) - 2
-                phrased.add(len(out))
-            if untitled:
-                score = min(score, 2) - 1
-        masked = MODEL.sub("M", low) if models else low
-        kind = "links" if links else "table" if table else "data" if data else bullet.group(1)[-1] if bullet else "prose" if sentence else "line"
-        masked = _DIGITS.sub("#", masked)
-        out.append((no, kind + " " + masked, score, UNTITLED if untitled else HEAD if in_head else 1, low if masked != low else ""))
-    sure = [i for i, line in enumerate(out) if line[2] >= SURE]
-    first, last = (sure[0], sure[-1]) if sure else (len(out), len(out))
-    # after the last line about the product a furniture word says a little more
-    return [(no, path, score - (i in phrased and i > last), 0 if first <= i <= last else place, said) for i, (no, path, score, place, said) in enumerate(out)]
-
-
-LINES = "array<struct<line_no:int,path:bigint,said:bigint,score:int,place:int,data:boolean,once:boolean>>"
+            structure, kind = (-2 if found[no] else 1 if data else 0), "bullet" if bullet else "line"
+        place = UNTITLED if title is None else BEFORE if no < title else INSIDE if no <= last else BEHIND
+        parts = [line] if links[no] or table else _SENTENCE.split(body)
+        masked = []
+        for part in parts:
+            text, numbers = skeleton(part, found[no], own)
+            masked.append((kind + " " + text, numbers))
+        out.append((no, place, structure, words, data, masked))
+    return out
+
+
+LINES = "array<struct<line_no:int,place:int,structure:int,words:int,data:boolean,parts:array<struct<path:bigint,numbers:bigint,once:boolean>>>>"
 
 
 def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def _hashed(url: str | None, content: str) -> list[tuple[int, int, int, int, int, bool, bool]]:
+def _hashed(url: str | None, content: str) -> list[tuple]:
     out, seen = [], set()
-    for no, path, score, place, said in line_scores(url, content):
-        out.append((no, _hash(path), _hash(said) if said else 0, score, place, path.startswith("data "), path not in seen))
-        seen.add(path)
+    for no, place, structure, words, data, parts in page_lines(url, content):
+        rows = []
+        for path, numbers in parts:
+            rows.append((_hash(path), _hash(numbers) if numbers else 0, path not in seen))
+            seen.add(path)
+        out.append((no, place, structure, words, data, rows))
     return out
 
 
-def _scored_udf():
+def _lines_udf():
     @F.pandas_udf(LINES)
-    def scored(url: pd.Series, content: pd.Series) -> pd.Series:
+    def lines(url: pd.Series, content: pd.Series) -> pd.Series:
         return pd.Series([_hashed(u, c) for u, c in zip(url, content)], dtype=object)
 
-    return scored
+    return lines
 
 
 def share_bound(k: Column, n: Column, side: int) -> Column:
     """Wilson bound of the share k/n, the lower one for side -1 and the upper one for side 1: few pages prove little."""
     q = k / n
-    return (q + Z * Z / (2 * n) + side * Z * F.sqrt(q * (1 - q) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
+    return (q + Z * Z / (2 * n) + side * Z * F.sqrt(F.greatest(q * (1 - q), F.lit(0.0)) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
 
 
-def path_votes(lines: DataFrame) -> DataFrame:
-    """host, path, n (rows), vote: -1 furniture, 1 a line that hardly any page of the host carries, 0 undecided.
+def path_votes(parts: DataFrame, hosts: DataFrame) -> DataFrame:
+    """host, path, n (rows), vote, rare: -1 furniture, 1 main text, 0 undecided.
 
-    What most pages of a host carry word for word is furniture, and so is what a large share of them
-    carries mostly outside the lines about the product; data lines there only if their numbers never
-    change. A path that is furniture where most of its pages are is furniture on other hosts too.
+    ``parts`` has host, path, numbers, once, place and data of each sentence, ``hosts`` the number of
+    pages of each host. Sentences of pages without a title count as rows and prove nothing. A path
+    with changing numbers in a line of data is no furniture for its place behind the product's lines.
+    What is furniture by share on the hosts with most of its pages is furniture on other hosts too.
     """
-    paths = lines.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("once").alias("carried"), F.count_if(F.col("place") > 0).alias("outside"),
-        (F.min("said") == F.max("said")).alias("constant"), F.max("data").alias("data"),
+    titled = F.col("place") != UNTITLED
+    paths = parts.groupBy("host", "path").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("once").alias("carried"), F.count_if(titled).alias("known"), F.count_if(F.col("place") == BEFORE).alias("before"),
+        F.count_if(F.col("place") == INSIDE).alias("inside"), F.min("numbers").alias("least"), F.max("numbers").alias("most"), F.max("data").alias("data"),
     )
-    hosts = lines.groupBy("host").agg(F.count_if("first").alias("pages"))
-    paths = join_hot(paths, hosts.withColumn("_weight", F.col("pages")), "host", "_weight")
+    # a host with very many paths is spread: the join with hosts broadcasts the largest
+    paths = join_hot(paths, hosts, "host", "_weight")
     low = share_bound(F.col("carried"), F.col("pages"), -1)
-    around = (low >= OUTSIDE_SHARE) & (2 * F.col("outside") >= F.col("n")) & (F.col("constant") | ~F.col("data"))
-    paths = paths.withColumn("furniture", ((low >= ANY_SHARE) & F.col("constant")) | around)
-    everywhere = paths.groupBy("path").agg(F.sum("carried").alias("all"), F.sum(F.when(F.col("furniture"), F.col("carried")).otherwise(0)).alias("as_furniture"))
-    general = everywhere.where(share_bound(F.col("as_furniture"), F.col("all"), -1) >= 0.5).select("path", F.lit(True).alias("general"))
-    rare = share_bound(F.col("carried"), F.col("pages"), 1) <= RARE_SHARE
-    vote = F.when(F.col("furniture") | F.col("general").isNotNull(), -1).when(rare, 1).otherwise(0)
-    return paths.join(general, "path", "left").select("host", "path", "n", vote.alias("vote"))
+    paths = paths.withColumn("rare", share_bound(F.col("carried"), F.col("pages"), 1) <= RARE_SHARE)
+    own_tail = (F.col("known") > 0) & (2 * F.col("inside") < F.col("known"))
+    common = (low > RARE_SHARE) & ((F.col("least") == F.col("most")) | ~F.col("data"))
+    constant = (low >= INSIDE_SHARE) & own_tail & (F.col("least") == F.col("most"))
+    paths = paths.withColumns({"_common": F.when(common & own_tail, F.col("carried")).otherwise(0), "_constant": constant})
+    total = paths.groupBy("path").agg(*[F.sum(c).alias("_" + c) for c in ("known", "before", "inside", "carried")], F.sum("_common").alias("_all_common"))
+    paths = paths.join(total, "path")
+    others = F.col("_known") - F.col("known")
+    weight = F.when(others > OTHER_HOSTS, F.lit(float(OTHER_HOSTS)) / others).otherwise(1.0)
+    mixed = {c: F.col(c) + weight * (F.col("_" + c) - F.col(c)) for c in ("known", "before", "inside")}
+    seen = mixed["known"] > 0
+    n = F.greatest(mixed["known"], F.lit(1e-9))
+    before = seen & (share_bound(mixed["before"], n, -1) > BEFORE_SHARE)
+    behind = seen & (share_bound(mixed["inside"], n, 1) < INSIDE_SHARE) & (2 * F.col("_all_common") > F.col("_carried"))
+    main = seen & (share_bound(mixed["inside"], n, -1) > MAIN_SHARE)
+    vote = F.when(before | behind | F.col("_constant"), -1).when(main, 1).otherwise(0)
+    return paths.select("host", "path", "n", vote.alias("vote"), "rare")
 
 
 def line_verdicts(pages: DataFrame) -> DataFrame:
     """(fetch_id, line_no, is_main): one row per visible line of each page with content.
 
     Lines are counted from 0 at line feeds; a line of white space and invisible characters has no row.
-    Null and empty contents have no line. A page that names no product by designation, heading or url
-    words has no head; it is a pure consent page if at least half of its lines are furniture by vote or
-    score, and then has no main text. A null or odd url belongs to the host ''. Repeated pages vote
-    each; a page that is fetched twice gets its verdicts twice. Votes are summed before they are
-    shuffled, and only open lines meet them, the most frequent paths by broadcast: a host with a third
-    of all pages is spread.
+    Null and empty contents have no line. A null or odd url belongs to the host ''. Pages fetched again
+    vote each; rows with one fetch_id are meant to be one page. A page without a title has main text
+    only if more than half of its lines are main text by vote and structure: a pure consent page has
+    none. Votes are summed before they are shuffled, and lines meet them with the most frequent paths
+    by broadcast: a host with a third of all pages is spread. Of a page only numbers of lines are
+    brought together again, in one shuffle by fetch_id.
     """
-    from plumbline.session import cut
-
     host = F.regexp_replace(F.lower(F.coalesce(F.regexp_extract("url", r"://([^/]*)", 1), F.lit(""))), r"^www\.", "")
     lines = (
-        spread(pages.select("fetch_id", "url", "content"), "fetch_id")
+        pages.select("fetch_id", "url", "content")
         .where(F.col("content").isNotNull())
-        .select("fetch_id", host.alias("host"), F.posexplode(_scored_udf()("url", "content")).alias("pos", "l"))
+        .select("fetch_id", host.alias("host"), F.posexplode(_lines_udf()("url", "content")).alias("pos", "l"))
         .select("fetch_id", "host", (F.col("pos") == 0).alias("first"), "l.*")
     )
     lines = cut(lines)
+    parts = lines.select("fetch_id", "host", "line_no", "place", "structure", "words", "data", F.explode("parts").alias("p")).select("*", "p.*").drop("p")
+    hosts = lines.groupBy("host").agg(F.count_if("first").alias("pages")).withColumn("_weight", F.col("pages"))
     key = F.concat_ws("\x01", "host", F.col("path").cast("string"))
-    verdict = path_votes(lines).select(key.alias("_key"), "n", "vote")
-    sure = lines.where(F.abs("score") >= SURE).select("fetch_id", "line_no", (F.col("score") > 0).alias("is_main"))
-    unsure = join_hot(lines.where(F.abs("score") < SURE).withColumn("_key", key).select("fetch_id", "line_no", "score", "place", "_key"), verdict, "_key", "n")
-    # before the title only a sentence that the host does not repeat is main text
-    back = F.when((F.col("place") == HEAD) & (F.col("vote") == 1), 1).otherwise(0)
-    said = (F.col("vote") != -1) & (F.col("score") + back >= 0)
-    unsure = unsure.select("fetch_id", "line_no", "place", said.alias("is_main"))
-    titled = unsure.where(F.col("place") != UNTITLED).select("fetch_id", "line_no", "is_main")
+    votes = path_votes(parts, hosts).select(key.alias("_key"), "n", "vote", "rare")
+    line = ["fetch_id", "line_no", "place", "structure", "words"]
+    is_own = (F.col("structure") == OWN) & (F.col("place") != BEFORE)
+    own = lines.where(is_own).select(*line, F.lit(1).alias("vote"), F.lit(False).alias("rare"))
+    asked = join_hot(parts.where(~is_own).withColumn("_key", key).select(*line, "_key"), votes, "_key", "n").select(*line, "vote", "rare")
+    # one exchange serves the sums by line and the neighbours on the page
+    met = own.unionByName(asked).repartition("fetch_id").groupBy(*line).agg(F.sum("vote").alias("_sum"), F.min("vote").alias("_least"), F.min("rare").alias("rare"))
+    voted = F.when(F.col("_sum") != 0, F.signum("_sum")).when(F.col("_least") < 0, -1).otherwise(0)
+    # a line that names other products only is no main text by vote; a rare sentence before the title is open
+    voted = F.when((F.col("structure") == -2) & (voted > 0), 0).otherwise(voted)
+    open_head = (F.col("place") == BEFORE) & F.col("rare") & (F.col("structure") == 2) & (F.col("words") >= 8)
+    page = Window.partitionBy("fetch_id").orderBy("line_no")
+    met = met.withColumn("_voted", F.when(open_head, 1).otherwise(voted))
+    decided = F.when(F.col("_voted") != 0, F.col("_voted"))
+    before = F.coalesce(F.last(decided, True).over(page.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    behind = F.coalesce(F.first(decided, True).over(page.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
+    # a short line leads to what follows it
+    follows = (F.col("place") != BEFORE) & (F.col("structure") + 0.5 * before + behind > 0)
+    met = met.withColumn("is_main", F.when(F.col("_voted") != 0, F.col("_voted") > 0).otherwise(follows))
     kept = F.avg(F.col("is_main").cast("int")).over(Window.partitionBy("fetch_id"))
-    untitled = unsure.where(F.col("place") == UNTITLED).select("fetch_id", "line_no", (F.col("is_main") & (kept > 0.5)).alias("is_main"))
-    return sure.unionByName(titled).unionByName(untitled)
+    return met.select("fetch_id", "line_no", (F.col("is_main") & ((F.col("place") != UNTITLED) | (kept > 0.5))).alias("is_main"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:

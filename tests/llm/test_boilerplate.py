@@ -1,3 +1,5 @@
+"""Pages of text. That furniture of a single page is told without its host was a matter of word lists; now every page stands among pages of its host."""
+
 from plumbline.llm import boilerplate as bp
 
 HEAD = "Your privacy matters. Together with our 3 partners we process data.\nAgree and close\nHome | Products | Contact | News\nProducts > Disposal > ABC-12D-3EFG\n"
@@ -13,16 +15,38 @@ def verdicts(spark, pages):
     return {(r.fetch_id, r.line_no): r.is_main for r in bp.line_verdicts(df).collect()}
 
 
-def test_page(spark):
-    got = verdicts(spark, [(1, "https://www.acme.example/p/abc-12d-3efg-7", PAGE)])
-    assert {n for (_, n), main in got.items() if main} == MAIN
-    assert len(got) == sum(bool(x.strip()) for x in PAGE.split("\n"))
+def site(host, n=60, at=1000, consent="Your privacy matters. Together with our {} partners we process data.\nAgree and close", rest=TAIL.split("\n", 1)[1], boxes=("Customers also viewed\nOther XYZ-{}P-4QWE 500 W module", "Advertisement\nThe Acme roof days: come and see us.")):
+    """Other pages of the host: the same furniture around other products, the boxes before, among and behind the main text."""
+    pages = []
+    for i in range(n):
+        code = f"QRS-{i}D-3EFG"
+        main = [f"# Acme {code} hybrid inverter", f"Unit {chr(97 + i % 26) * (1 + i // 26)} opens upwards without a tool.", "Disposal", f"The {code} weighs {i} kg.", f"Input voltage: {i} V", f"1. It stays quiet for {i} years.", f"The {code} is the last word on it."]
+        for k, box in enumerate(boxes):
+            main.insert((i + 3 * k) % 9, box.format(i))
+        pages.append((at + i, f"https://{host}/p/{code.lower()}", "\n".join([consent.format(i), "Home | Products | Contact | News", *main, rest])))
+    return pages
+
+
+def test_page_among_pages_of_its_host(spark):
+    got = verdicts(spark, [(1, "https://www.acme.example/p/abc-12d-3efg-7", PAGE), *site("acme.example")])
+    assert {n for (i, n), main in got.items() if main and i == 1} == MAIN
+    assert sum(i == 1 for i, _ in got) == sum(bool(x.strip()) for x in PAGE.split("\n"))
 
 
 def test_odd_characters_do_not_hide_furniture(spark):
-    odd = PAGE.replace("A", "А").replace("o", "о").replace("cookie", "соо​kie")
-    got = verdicts(spark, [(1, None, odd)])
-    assert {n for (_, n), main in got.items() if main} == MAIN
+    odd = PAGE.replace("A", "А").replace("o", "о").replace("cookie", "соо\u200bkie")
+    got = verdicts(spark, [(1, "https://acme.example/", odd), *site("acme.example")])
+    assert {n for (i, n), main in got.items() if main and i == 1} == MAIN
+
+
+def test_a_language_that_no_list_knows(spark):
+    # Finnish furniture and text: only the host's pages say what is what
+    page = "Käytämme evästeitä sivustolla.\nHyväksy kaikki\nKoti | Tuotteet | Uutiset\n# Acme ABC-12D-3EFG invertteri\nLaite on kevyt ja toimii yöllä aivan hiljaa.\nMainos\nTule messuille ja voita akku jo tänään.\nHuolto\nABC-12D-3EFG kestää talven hyvin.\nTilaa uutiskirje\nKaikki oikeudet pidätetään tässä.\nTakaisin ylös"
+    others = site("acme.example", consent="Käytämme evästeitä sivustolla.\nHyväksy kaikki", rest="Tilaa uutiskirje\nKaikki oikeudet pidätetään tässä.\nTakaisin ylös", boxes=("Mainos\nTule messuille ja voita akku jo tänään.",))
+    got = verdicts(spark, [(1, "https://acme.example/p/abc-12d-3efg", page), *others])
+    assert {n for (i, n), main in got.items() if main and i == 1} == {3, 4, 7, 8}
+    alone = verdicts(spark, [(1, "https://acme.example/p/abc-12d-3efg", page)])
+    assert alone[1, 6] and not got[1, 6]  # without the host nothing tells the advertisement from the text
 
 
 def test_consent_null_empty_and_long(spark):
@@ -47,8 +71,8 @@ def test_votes_of_the_host_decide_open_lines(spark):
 
 
 def test_main_text(spark):
-    df = spark.createDataFrame([(1, "https://a.example/p/abc-12d-3efg", PAGE), (2, None, "Accept all"), (3, None, None)], "fetch_id bigint, url string, content string")
-    got = {r.fetch_id: r.main_text for r in bp.main_text(df).collect()}
+    df = spark.createDataFrame([(1, "https://a.example/p/abc-12d-3efg", PAGE), (2, None, "Accept all"), (3, None, None), *site("a.example")], "fetch_id bigint, url string, content string")
+    got = {r.fetch_id: r.main_text for r in bp.main_text(df).collect() if r.fetch_id < 1000}
     assert got == {1: "\n".join(x for n, x in enumerate(PAGE.split("\n")) if n in MAIN), 2: ""}
 
 
