@@ -2,38 +2,49 @@
 
 Texts that hold no special character are their own form (a check, not a sample: the set of special
 characters is exactly those whose form differs, and all combining marks). The others are exploded to
-positioned code points (stretches that no rule touches stay in one piece), joined with the broadcast mapping of decompositions and look-alikes, their
-combining marks ordered by class within each base's run, recomposed, and put together again.
+positioned pieces: a special character, a character with the marks that attach to it, or a stretch that
+no rule touches. Every different piece is exploded to positioned code points, which are joined with the
+broadcast mapping of decompositions and look-alikes; marks are ordered by class and recomposed. The
+pieces' forms are joined back and the texts put together again.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm import lookalikes as la
+from plumbline.operators.skew import join_hot
+from plumbline.session import cut
 
 SALTS = 16
-#: Spares plain characters the long character classes.
-_NOT_PLAIN = r"(?=[^\x20-\x7E\n])"
+#: More different pieces than this are joined by a shuffle with the most frequent ones broadcast.
+BROADCAST_PIECES = 100_000
+
+
+def _harmless() -> str:
+    """Frequent characters that no rule touches, as the inside of a short Java class; ASCII is tried first."""
+    special = set(la.special_characters())
+    blocks = [*range(0x20, 0x250), *range(0x2010, 0x2027), *range(0x20A0, 0x20C0), *range(0x2190, 0x222C), *range(0x4E00, 0xA000)]
+    return r"\n" + la.java_class("".join(chr(c) for c in blocks if chr(c) not in special))
 
 
 def has_special(text: Column) -> Column:
-    """Whether a text holds a special character; the look-ahead spares plain characters the long class."""
-    return text.rlike(_NOT_PLAIN + "[" + la.java_class(la.special_characters()) + "]")
+    """Whether a text holds a special character; the look-ahead spares frequent characters the long class."""
+    return text.rlike(f"(?=[^{_harmless()}])[{la.java_class(la.special_characters())}]")
 
 
 def pieces(text: Column) -> Column:
-    """The text as an array of code points, but stretches that no rule touches stay in one piece.
+    """The text as an array of pieces: stretches that no rule touches, special characters, characters with their marks.
 
-    A special character stands alone, and so does a character that a mark attaches to, be it across
-    characters without a visible form.
+    A mark attaches to the character before it, be it across characters without a visible form.
     """
-    special, marks, gone = (f"[{la.java_class(c)}]" for c in (la.special_characters(), la.attaching_characters(), la.invisible_characters()))
-    at_special = f"(?<={_NOT_PLAIN}{special})|(?={_NOT_PLAIN}{special})"
-    # not at the second half of a character beyond the basic plane
-    before_base = rf"(?=[^\x{{dc00}}-\x{{dfff}}](?:{_NOT_PLAIN}{gone})*{_NOT_PLAIN}{marks})"
-    return F.split(text, f"{at_special}|{before_base}")
+    special, marks, gone = (la.java_class(c) for c in (la.special_characters(), la.attaching_characters(), la.invisible_characters()))
+    # loops over classes only: the length of a stretch costs no stack
+    pattern = f"[{_harmless()}[^{special}]]+(?![{gone}]*+[{marks}])|(?s:.)[{gone}{marks}]*[{marks}]|(?s:.)"
+    return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
 
 
 def _mapping(spark: SparkSession) -> DataFrame:
@@ -49,7 +60,7 @@ def _classes(spark: SparkSession) -> DataFrame:
 def _compose(base: Column, marks: Column) -> Column:
     """base and its ordered marks (array of ch, class), composed as far as canonical composition goes."""
     pairs = la.compositions()
-    table = F.from_json(F.lit(__import__("json").dumps(pairs)), "map<string,string>")
+    table = F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
     start = F.struct(base.alias("b"), F.lit("").alias("rest"), F.lit(0).alias("last"))
 
     def step(acc: Column, m: Column) -> Column:
@@ -70,59 +81,105 @@ def canonical_text(rows: DataFrame, keys: list[str], text: str = "text") -> Data
     syllables are taken apart into their letters. A very long text is one group of one task, as it is one row.
     """
     base = rows.select(*keys, F.col(text).alias(text)).where(F.col(text).isNotNull())
-    plain = base.where(~has_special(F.col(text))).withColumn("canonical", F.col(text))
-    odd = base.where(has_special(F.col(text)))
+    flagged = cut(base.select(*keys, text, has_special(F.col(text)).alias("_odd")))
+    plain = flagged.where("not _odd").select(*keys, text, F.col(text).alias("canonical"))
+    odd = flagged.where("_odd").drop("_odd")
     return plain.unionByName(odd.join(_rebuilt(odd, keys, text), keys))
 
 
-def _rebuilt(odd: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys`` and ``canonical`` of texts with special characters, one row per key."""
-    spark = odd.sparkSession
-    # texts are shuffled, not their code points: all that follows keeps this partitioning
-    odd = odd.dropDuplicates(keys)
+def _forms(distinct: DataFrame) -> DataFrame:
+    """piece and canonical of each different piece (column ``piece``), by way of its code points."""
+    spark = distinct.sparkSession
     # decomposition and look-alikes; a character without a visible form leaves a row without one
-    points = odd.select(*keys, F.posexplode(pieces(F.col(text))).alias("_pos", "_ch"))
+    points = distinct.select("piece", F.posexplode(F.split("piece", "")).alias("_pos", "_ch"))
     points = points.join(F.broadcast(_mapping(spark)), "_ch", "left")
-    points = points.select(*keys, "_pos", F.posexplode_outer(F.coalesce("_parts", F.array("_ch"))).alias("_sub", "_ch"))
+    points = points.select("piece", "_pos", F.posexplode_outer(F.coalesce("_parts", F.array("_ch"))).alias("_sub", "_ch"))
     # combining marks belong to the run of the starter before them
     points = points.join(F.broadcast(_classes(spark)), "_ch", "left").withColumn("_class", F.coalesce("_class", F.lit(0)))
-    in_text = Window.partitionBy(*keys).orderBy("_pos", "_sub")
+    in_piece = Window.partitionBy("piece").orderBy("_pos", "_sub")
     starts = F.when((F.col("_class") == 0) & F.col("_ch").isNotNull(), 1).otherwise(0)
-    points = points.withColumn("_run", F.sum(starts).over(in_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    runs = points.groupBy(*keys, "_run").agg(
+    points = points.withColumn("_run", F.sum(starts).over(in_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = points.groupBy("piece", "_run").agg(
         F.max(F.when(F.col("_class") == 0, F.col("_ch"))).alias("_base"),
         F.array_sort(F.collect_list(F.when(F.col("_class") > 0, F.struct("_class", "_pos", "_sub", "_ch")))).alias("_marks"),
     )
     bare = F.coalesce("_base", F.lit(""))
     made = F.when(F.size("_marks") == 0, bare).otherwise(_compose(bare, F.col("_marks")))
-    return (
-        runs.select(*keys, F.struct("_run", made.alias("_s")).alias("_r"))
-        .groupBy(*keys)
-        .agg(F.array_join(F.transform(F.array_sort(F.collect_list("_r")), lambda r: r["_s"]), "").alias("canonical"))
-    )
+    return runs.groupBy("piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_run", made.alias("_s")))), lambda r: r["_s"]), "").alias("canonical"))
+
+
+def _rebuilt(odd: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys`` and ``canonical`` of texts with special characters, one row per key. ``odd`` is read twice."""
+    # texts are shuffled, not their pieces: all that follows keeps this partitioning
+    points = odd.dropDuplicates(keys).select(*keys, F.posexplode(pieces(F.col(text))).alias("_pos", "_piece"))
+    counted = odd.select(F.explode(pieces(F.col(text))).alias("piece")).where(has_special(F.col("piece"))).groupBy("piece").agg(F.count(F.lit(1)).alias("_n"))
+    counted = cut(counted)
+    forms = cut(counted.join(_forms(counted.select("piece")), "piece"))
+    # stretches match no form; they do not meet in one task
+    points = points.withColumn("piece", F.when(has_special(F.col("_piece")), F.col("_piece")).otherwise(F.concat(F.lit("\x00\x00"), (F.col("_pos") % 4096).cast("string"))))
+    if counted.count() <= BROADCAST_PIECES:
+        joined = points.join(F.broadcast(forms.drop("_n")), "piece", "left")
+    else:
+        joined = join_hot(points, forms, "piece", "_n")
+    part = F.struct("_pos", F.coalesce("canonical", "_piece").alias("_s"))
+    return joined.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda r: r["_s"]), "").alias("canonical"))
+
+
+def lookalike_classes(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """``keys``, ``exact`` and ``class_id``: the hash of each non-null text and of its canonical form; repeated rows count once."""
+    base = rows.select(*keys, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    for k in keys:
+        base = base.where(F.col(k).isNotNull())
+    # one scan: plain texts leave only their hash behind
+    flagged = cut(base.select(*keys, F.md5("_text").alias("exact"), F.when(has_special(F.col("_text")), F.col("_text")).alias("_odd")))
+    plain = flagged.where("_odd is null").select(*keys, "exact", F.col("exact").alias("class_id"))
+    # keys are meant to be unique; the exact text is part of the key in case they are not
+    odd = _rebuilt(flagged.where("_odd is not null"), [*keys, "exact"], "_odd").select(*keys, "exact", F.md5("canonical").alias("class_id"))
+    return plain.unionByName(odd).distinct()
+
+
+def class_links(classes: DataFrame, keys: list[str], group: list[str] = []) -> DataFrame:  # noqa: B006
+    """``keys``, class_id, n_links: every row with its class and the number of rows that look the same but differ.
+
+    Copies of a text are not linked with each other. Linear in the rows, whatever the size of a class.
+    """
+    per = [*group, "class_id"]
+    texts = classes.groupBy(*per, "exact").agg(F.count(F.lit(1)).alias("_copies"))
+    whole = texts.groupBy(*per).agg(F.sum("_copies").alias("_rows"))
+    sizes = texts.join(whole, per).withColumn("n_links", F.col("_rows") - F.col("_copies")).select(*per, "exact", "_copies", "n_links")
+    marked = classes.withColumn("_k", F.concat_ws("\x01", *group, "exact"))
+    lookup = sizes.select(F.concat_ws("\x01", *group, "exact").alias("_k"), "n_links", "_copies")
+    return join_hot(marked, lookup, "_k", "_copies").select(*keys, "class_id", "n_links")
+
+
+def class_pairs(classes: DataFrame, id_col: str, group: list[str] = []) -> DataFrame:  # noqa: B006
+    """``group``, id_a, id_b (id_a < id_b): all rows of one class with different texts.
+
+    First the different texts of a class are paired, then each text becomes its rows, on one side after
+    the other: copies are never compared with copies. Both steps are salted, so a text that a third of
+    all rows hold is spread over tasks.
+    """
+    per = [*group, "class_id"]
+    texts = classes.groupBy(*per, "exact").agg(F.count(F.lit(1)).alias("_copies"))
+    several = texts.groupBy(*per).agg(F.count(F.lit(1)).alias("_texts")).where("_texts > 1").select(*per)
+    texts = texts.join(several, per)
+    other = texts.select(*per, F.col("exact").alias("_other"), F.col("_copies").alias("_more"))
+    # the text with more copies comes first and is spread, the other one is replicated to the salts
+    both = texts.join(other, per).where((F.col("_copies") > F.col("_more")) | ((F.col("_copies") == F.col("_more")) & (F.col("exact") > F.col("_other"))))
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)])).alias("_salt")
+    salt = F.pmod(F.xxhash64(F.col(id_col)), F.lit(SALTS)).cast("int").alias("_salt")
+    members = classes.select(*group, "exact", F.col(id_col).alias("_a"), salt)
+    first = both.select(*group, "exact", "_other", salts).join(members, [*group, "exact", "_salt"]).select(*group, "_other", "_a", "_salt")
+    second = classes.join(several, per, "left_semi").select(*group, F.col("exact").alias("_other"), F.col(id_col).alias("_b"), salts)
+    pairs = first.join(second, [*group, "_other", "_salt"]).where("_a <> _b")
+    return pairs.select(*group, F.least("_a", "_b").alias("id_a"), F.greatest("_a", "_b").alias("id_b")).distinct()
 
 
 def lookalike_pairs(rows: DataFrame, id_col: str, text: str) -> DataFrame:
     """(id_a, id_b), id_a < id_b: rows whose texts look the same but differ in code points.
 
-    Every two different texts of a look-alike class are linked through their first rows, and every
-    further copy of a text with the first row of each other text: no link between different texts is
-    lost, and copies are not multiplied with copies. Null texts have no pair; rows with equal ids and
-    texts count once. The join is salted on the side of the copies, so a class that holds a third of
-    all rows is spread over tasks.
+    All such pairs; copies of one text are no pair with each other. Null ids and texts have no pair;
+    rows with equal ids and texts count once.
     """
-    base = rows.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text")).where(F.col("_id").isNotNull() & F.col("_text").isNotNull()).withColumn("_exact", F.md5("_text"))
-    # ids are meant to be unique; the exact text is part of the key in case they are not
-    odd = base.where(has_special(F.col("_text")))
-    plain = base.where(~has_special(F.col("_text"))).select("_id", "_exact", F.col("_exact").alias("_class"))
-    forms = _rebuilt(odd, ["_id", "_exact"], "_text").select("_id", "_exact", F.md5("canonical").alias("_class"))
-    from plumbline.session import cut
-
-    forms = cut(plain.unionByName(forms).distinct())
-    texts = forms.groupBy("_class", "_exact").agg(F.min("_id").alias("_rep"))
-    multi = texts.groupBy("_class").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_class")
-    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    reps = texts.join(multi, "_class").select("_class", F.col("_exact").alias("_o_exact"), F.col("_rep").alias("_o"), salts.alias("_salt"))
-    left = forms.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
-    pairs = left.join(reps, ["_class", "_salt"]).where("_exact <> _o_exact and _id <> _o")
-    return pairs.select(F.least("_id", "_o").alias("id_a"), F.greatest("_id", "_o").alias("id_b")).distinct()
+    classes = cut(lookalike_classes(rows.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_t")), ["_id"], "_t"))
+    return class_pairs(classes, "_id")

@@ -7,15 +7,23 @@ from pyspark.sql import functions as F
 
 from plumbline.llm import boilerplate, canonical, leaks, packing, registry_match, splitting
 from plumbline.llm.sql import ORACLES  # noqa: F401
-from plumbline.session import read_table
+from plumbline.session import cut, read_table
+
+
+def _lookalike_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both tables with their look-alike class; both go through the operator together."""
+    tables = (("products", "row_id", "product_name"), ("web_fetch_exa", "fetch_id", "content"))
+    parts = [read_table(spark, sf_dir, table).select(F.lit(table).alias("src_table"), F.col(key).cast("bigint").alias("id"), F.col(text).alias("text")) for table, key, text in tables]
+    return cut(canonical.lookalike_classes(parts[0].unionByName(parts[1]), ["src_table", "id"], "text"))
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = [
-        canonical.lookalike_pairs(read_table(spark, sf_dir, table), id_col, text).select(F.lit(table).alias("src_table"), "id_a", "id_b")
-        for table, id_col, text in (("products", "row_id", "product_name"), ("web_fetch_exa", "fetch_id", "content"))
-    ]
-    return parts[0].unionByName(parts[1])
+    return canonical.class_pairs(_lookalike_classes(spark, sf_dir), "id", ["src_table"])
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with its look-alike class and its number of links."""
+    return canonical.class_links(_lookalike_classes(spark, sf_dir), ["src_table", "id"], ["src_table"])
 
 
 def p2_canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +31,11 @@ def p2_canonical_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.canonical_text(names, ["row_id"], "product_name").select("row_id", F.col("canonical").alias("canonical_name"))
 
 
+def p2_canonical_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "web_fetch_exa").select("fetch_id", "content")
+    return canonical.canonical_text(pages, ["fetch_id"], "content").select("fetch_id", F.col("canonical").alias("canonical_content"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = [read_table(spark, sf_dir, t) for t in ("products", "product_research_completions", "brand_registry")]
     return registry_match.matched_records(*tables).select("src_field", "record_key", "brand_code")
@@ -54,4 +67,4 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_canonical_names": p2_canonical_names, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p6_found": p6_found, "p6_main_text": p6_main_text, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p2_canonical_names": p2_canonical_names, "p2_canonical_pages": p2_canonical_pages, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p6_found": p6_found, "p6_main_text": p6_main_text, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}

@@ -26,15 +26,22 @@ def canonical_sql(column: str) -> str:
     return f"(select nfc_normalize({opened}) from (select {moved} as m))"
 
 
-def lookalike_sql() -> str:
-    """Pairs of rows that look the same: every row with the first row of each other text of its class."""
+def _lookalike_forms() -> str:
     parts = " union all ".join(
         f"select '{table}' as src_table, {key} as id, {text} as t, {canonical_sql(text)} as c from {table} where {text} is not null"
         for table, key, text in (("products", "row_id", "product_name"), ("web_fetch_exa", "fetch_id", "content"))
     )
-    return f"""with forms as ({parts}), reps as (select src_table, c, t, min(id) as rep from forms group by all)
-select distinct f.src_table, least(f.id, r.rep) as id_a, greatest(f.id, r.rep) as id_b
-from forms f join reps r on f.src_table = r.src_table and f.c = r.c and f.t <> r.t"""
+    return f"with forms as ({parts})"
+
+
+def lookalike_sql() -> str:
+    """All pairs of rows of one table whose forms are equal and whose texts differ."""
+    return f"{_lookalike_forms()} select distinct a.src_table, a.id as id_a, b.id as id_b from forms a join forms b on a.src_table = b.src_table and a.c = b.c and a.t <> b.t and a.id < b.id"
+
+
+def class_sql() -> str:
+    """Every row with the hash of its form and the number of rows that look the same but differ."""
+    return f"{_lookalike_forms()} select src_table, id, md5(c) as class_id, count(*) over (partition by src_table, c) - count(*) over (partition by src_table, t) as n_links from forms"
 
 
 def leak_sql(run: int = 13) -> str:
@@ -48,6 +55,8 @@ def leak_sql(run: int = 13) -> str:
 
 ORACLES = {
     "p2_canonical_names": f"select row_id, {canonical_sql('product_name')} as canonical_name from products where product_name is not null",
+    "p2_canonical_pages": f"select fetch_id, {canonical_sql('content')} as canonical_content from web_fetch_exa where content is not null",
+    "p2_classes": class_sql(),
     "p2_found": lookalike_sql(),
     "p8_found": leak_sql(),
 }

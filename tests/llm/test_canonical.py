@@ -4,7 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from plumbline.llm import lookalikes as la
-from plumbline.llm.canonical import canonical_text, lookalike_pairs
+from plumbline.llm.canonical import canonical_text, class_links, lookalike_classes, lookalike_pairs
 
 SAME = [
     ("Module ABC-12", "Ｍｏｄｕｌｅ　ＡＢＣ－１２"),
@@ -54,7 +54,7 @@ def test_pairs(spark):
     rows = [(1, a), (2, b), (3, a), (4, c), (5, "other"), (6, "other"), (7, None), (8, ""), (9, "​"), (9, "​"), (10, "a‌b")]
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in rows], "id bigint, name string, _class string, canonical string")
     got = sorted((r.id_a, r.id_b) for r in lookalike_pairs(df, "id", "name").collect())
-    # 1 is the first row of its text; 3, a copy, is linked with the first rows of the other texts
+    # 1 and 3 are copies of one text: each is linked with the rows of the other texts, not with one another
     assert got == [(1, 2), (1, 4), (2, 3), (2, 4), (3, 4), (8, 9)]
     assert lookalike_pairs(df.limit(0), "id", "name").count() == 0
 
@@ -67,6 +67,27 @@ def test_no_link_is_lost_against_brute_force(spark):
     texts = ["".join(rng.choice(swaps.get(c, c)) for c in rng.choice(["one name", "a lone note", "nano ohm"])) for _ in range(60)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id bigint, name string")
     got = {(r.id_a, r.id_b) for r in lookalike_pairs(df, "id", "name").collect()}
-    first = {t: i for i, t in reversed(list(enumerate(texts)))}
-    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if texts[i] != texts[j] and la.fold(texts[i]) == la.fold(texts[j]) and (first[texts[i]] == i or first[texts[j]] == j)}
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if texts[i] != texts[j] and la.fold(texts[i]) == la.fold(texts[j])}
     assert got == want
+    classes = lookalike_classes(df, ["id"], "name")
+    links = {r.id: r.n_links for r in class_links(classes, ["id"]).collect()}
+    assert links == {i: sum(i in p for p in want) for i in range(60)}
+
+
+def test_two_copies_of_two_texts_are_four_links(spark):
+    df = spark.createDataFrame([(1, "Caf\u00e9"), (2, "Cafe\u0301"), (3, "Caf\u00e9"), (4, "Cafe\u0301")], "id bigint, name string")
+    assert {(r.id_a, r.id_b) for r in lookalike_pairs(df, "id", "name").collect()} == {(1, 2), (1, 4), (2, 3), (3, 4)}
+
+
+def test_a_hot_text_is_linked_without_comparing_its_copies(spark):
+    rows = [(i, "Nordlumen") for i in range(3000)] + [(3000, "N\u043erdlumen"), (3001, "other")]
+    df = spark.createDataFrame(rows, "id bigint, name string")
+    got = lookalike_pairs(df, "id", "name").collect()
+    assert {(r.id_a, r.id_b) for r in got} == {(i, 3000) for i in range(3000)}
+    links = {r.n_links for r in class_links(lookalike_classes(df, ["id"], "name"), ["id"]).where("id < 3000").collect()}
+    assert links == {1}
+
+
+def test_long_runs_of_marks_and_invisible_characters(spark):
+    texts = ["a" + "\u200b" * 30_000 + "\u0301", "e" + "\u0301" * 20_000, "\uff21" * 20_000, "x" * 100_000 + "\u0301"]
+    assert spark_fold(spark, texts) == {i: la.fold(t) for i, t in enumerate(texts)}
