@@ -15,11 +15,12 @@ from __future__ import annotations
 import re
 from hashlib import blake2b
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.lookalikes import fold
+from plumbline.llm.lookalikes import _cache, fold
 from plumbline.operators.skew import join_hot
 from plumbline.session import cut
 
@@ -37,9 +38,11 @@ INSIDE_SHARE, RARE_SHARE = 0.3, 0.1
 MAIN_SHARE = 0.15
 #: Occurrences on other hosts weigh as much as this number of own ones at most.
 OTHER_HOSTS = 50
+KEPT_SHAPES, KEPT_LENGTH = 50_000, 200
 
 _CODE = re.compile(r"(?<![^\W_])(?=[A-Za-z-]*[0-9])[A-Za-z][A-Za-z0-9]*(?:-[A-Za-z0-9]+)*(?![^\W_])")
 _NUMBER = re.compile(r"\d+(?:[.,:]\d+)*")
+_SEPARATORS = frozenset("|/>»·•\t")
 _LINKS = re.compile(r"\s+[|/>»·•]\s+|\s{2,}")
 _BULLET = re.compile(r"^(?:[-*•]|\d{1,2}\.)\s+")
 _SENTENCE = re.compile(r"(?<=[.!?…])\s+(?=\d|[^\W_a-zß-öø-ÿ])")
@@ -95,7 +98,7 @@ def named_title(slug: str, lines: list[str], links: list[bool]) -> int | None:
 
 def is_links(line: str) -> bool:
     """A list of links: three or more short items between separators, no sentence and no table row."""
-    if line.startswith("|") or line.endswith((".", "!", "?")):
+    if (_SEPARATORS.isdisjoint(line) and "  " not in line) or line.startswith("|") or line.endswith((".", "!", "?")):
         return False
     items = [i for i in _LINKS.split(line) if i]
     return len(items) >= 3 and all(len(i.split()) <= 4 for i in items)
@@ -110,76 +113,113 @@ def skeleton(text: str, codes: list[tuple[str, str]], own: str | None) -> tuple[
     return (_NUMBER.sub("#", text) if numbers else text).lower(), " ".join(numbers)
 
 
-def page_lines(url: str | None, content: str) -> list[tuple[int, int, int, int, bool, list[tuple[str, str]]]]:
-    """(line_no, place, structure, words, data, [(path, numbers)]) of each visible line.
+def _hash(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
-    structure: OWN for a line that names the product, 2 for sentences and table rows, 1 for data, 0 for
-    other short lines, below for lists of links and lines that name other products only.
-    """
-    raw = fold(content).split("\n")
-    if len(raw) != content.count("\n") + 1:  # other line separators do not count
-        raw = [fold(line).replace("\n", " ") for line in content.split("\n")]
-    lines = [line.strip() for line in raw]
-    slug = _SITE.sub("", url or "")
-    links = [is_links(line) for line in lines]
-    found = [designations(line) for line in lines]
-    own = page_product((url or "")[: len(url or "") - len(slug)], slug, found)
-    named = [n for n, codes in enumerate(found) if not links[n] and any(key == own for _, key in codes)] if own else []
-    title = named[0] if named else named_title(slug, lines, links)
-    last = named[-1] if named else title
+
+def _parts(kind: str, texts: list[str], codes: list[tuple[str, str]], own: str | None) -> list[tuple[int, int]]:
+    """The hashed path and numbers of each sentence."""
     out = []
-    for no, line in enumerate(lines):
-        if not line:
-            continue
+    for text in texts:
+        path, numbers = skeleton(text, codes, own)
+        out.append((_hash(kind + " " + path), _hash(numbers) if numbers else 0))
+    return out
+
+
+class Shape:
+    """What a line says without its page."""
+
+    __slots__ = ("links", "codes", "texts", "kind", "structure", "words", "data", "parts")
+
+    def __init__(self, line: str):
+        self.links, self.codes = is_links(line), designations(line)
         bullet = _BULLET.match(line)
         body = line[bullet.end() :] if bullet else line
-        words = len(body.split())
+        self.words = len(body.split())
         table = line.startswith("|") and line.endswith("|") and len(line) > 2
-        sentence = words >= 4 and body.endswith((".", "!", "?", "…"))
-        data = not table and not sentence and words <= 8 and _DATA.search(body) is not None
-        mine = no == title or any(key == own for _, key in found[no])
-        if links[no]:
-            structure, kind = -2, "links"
-        elif mine:
-            structure, kind = OWN, "own"
+        sentence = self.words >= 4 and body.endswith((".", "!", "?", "…"))
+        self.data = not table and not sentence and self.words <= 8 and _DATA.search(body) is not None
+        if self.links:
+            self.structure, self.kind = -2, "links"
         elif table:
-            structure, kind = 2, "table"
+            self.structure, self.kind = 2, "table"
         elif sentence:
-            structure, kind = 2, "bullet" if bullet else "prose"
+            self.structure, self.kind = 2, "bullet" if bullet else "prose"
         else:
-            structure, kind = (-2 if found[no] else 1 if data else 0), "bullet" if bullet else "line"
-        place = UNTITLED if title is None else BEFORE if no < title else INSIDE if no <= last else BEHIND
-        parts = [line] if links[no] or table else _SENTENCE.split(body)
-        masked = []
-        for part in parts:
-            text, numbers = skeleton(part, found[no], own)
-            masked.append((kind + " " + text, numbers))
-        out.append((no, place, structure, words, data, masked))
-    return out
+            self.structure, self.kind = (-2 if self.codes else 1 if self.data else 0), "bullet" if bullet else "line"
+        self.texts = [line] if self.links or table else _SENTENCE.split(body)
+        # without a designation the paths are the same on every page
+        self.parts = None if self.codes else _parts(self.kind, self.texts, [], None)
 
 
-LINES = "array<struct<line_no:int,place:int,structure:int,words:int,data:boolean,parts:array<struct<path:bigint,numbers:bigint,once:boolean>>>>"
+def _shapes() -> dict[str, Shape]:
+    """Shapes of lines seen before; furniture repeats on every page."""
+    kept = _cache().setdefault("line_shapes", {})
+    if len(kept) >= KEPT_SHAPES:
+        kept.clear()
+    return kept
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+def page_lines(url: str | None, content: str) -> list[tuple[int, int, int, int, bool, list[tuple[int, int, bool]]]]:
+    """(line_no, place, structure, words, data, [(path, numbers, first on the page)]) of each visible line.
 
-
-def _hashed(url: str | None, content: str) -> list[tuple]:
+    structure: OWN for a line that names the product, 2 for sentences and table rows, 1 for data, 0 for
+    other short lines, below for lists of links and lines that name other products only.
+    """
+    raw = fold(content).split("\n")
+    if len(raw) != content.count("\n") + 1:  # other line separators do not count
+        raw = [fold(line).replace("\n", " ") for line in content.split("\n")]
+    lines = [line.strip() for line in raw]
+    kept, shapes = _shapes(), []
+    for line in lines:
+        shape = kept.get(line)
+        if shape is None:
+            shape = Shape(line)
+            if len(line) <= KEPT_LENGTH:
+                kept[line] = shape
+        shapes.append(shape)
+    url = url or ""
+    slug = _SITE.sub("", url)
+    own = page_product(url[: len(url) - len(slug)], slug, [s.codes for s in shapes])
+    named = [n for n, s in enumerate(shapes) if s.codes and not s.links and any(key == own for _, key in s.codes)] if own else []
+    title = named[0] if named else named_title(slug, lines, [s.links for s in shapes])
+    last = named[-1] if named else title
     out, seen = [], set()
-    for no, place, structure, words, data, parts in page_lines(url, content):
+    for no, (line, shape) in enumerate(zip(lines, shapes)):
+        if not line:
+            continue
+        place = UNTITLED if title is None else BEFORE if no < title else INSIDE if no <= last else BEHIND
+        mine = not shape.links and (no == title or any(key == own for _, key in shape.codes))
+        parts = shape.parts
+        if mine or parts is None:
+            parts = _parts("own" if mine else shape.kind, shape.texts, shape.codes, own)
         rows = []
         for path, numbers in parts:
-            rows.append((_hash(path), _hash(numbers) if numbers else 0, path not in seen))
+            rows.append((path, numbers, path not in seen))
             seen.add(path)
-        out.append((no, place, structure, words, data, rows))
+        out.append((no, place, OWN if mine else shape.structure, shape.words, shape.data, rows))
     return out
 
 
+LINES = "array<struct<line_no:int,place:int,structure:int,words:int,data:boolean,parts:array<struct<path:bigint,numbers:bigint,once:boolean>>>>"
+
+
+def _arrow_lines(pages: list[list[tuple]]) -> pa.Array:
+    """The lines of many pages in Arrow's layout, built from flat columns."""
+    lines = [line for page in pages for line in page]
+    parts = [part for line in lines for part in line[5]]
+    pick = lambda rows, i, kind: pa.array([r[i] for r in rows], kind)
+    nested = pa.StructArray.from_arrays([pick(parts, 0, pa.int64()), pick(parts, 1, pa.int64()), pick(parts, 2, pa.bool_())], ["path", "numbers", "once"])
+    lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(line[5]) for line in lines)]), pa.int32()), nested)
+    columns = [*(pick(lines, i, pa.int32()) for i in range(4)), pick(lines, 4, pa.bool_()), lists]
+    flat = pa.StructArray.from_arrays(columns, ["line_no", "place", "structure", "words", "data", "parts"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, pages)]), pa.int32()), flat)
+
+
 def _lines_udf():
-    @F.pandas_udf(LINES)
-    def lines(url: pd.Series, content: pd.Series) -> pd.Series:
-        return pd.Series([_hashed(u, c) for u, c in zip(url, content)], dtype=object)
+    @F.arrow_udf(LINES)
+    def lines(url: pa.Array, content: pa.Array) -> pa.Array:
+        return _arrow_lines([page_lines(u, c) for u, c in zip(url.to_pylist(), content.to_pylist())])
 
     return lines
 
@@ -191,7 +231,7 @@ def share_bound(k: Column, n: Column, side: int) -> Column:
 
 
 def path_votes(parts: DataFrame, hosts: DataFrame) -> DataFrame:
-    """host, path, n (rows), vote, rare: -1 furniture, 1 main text, 0 undecided.
+    """host, path, n (rows), vote (-1 furniture, 1 main text, 0 undecided), rare (one page of a host with many).
 
     ``parts`` has host, path, numbers, once, place and data of each sentence, ``hosts`` the number of
     pages of each host. Sentences of pages without a title count as rows and prove nothing. A path
@@ -206,7 +246,7 @@ def path_votes(parts: DataFrame, hosts: DataFrame) -> DataFrame:
     # a host with very many paths is spread: the join with hosts broadcasts the largest
     paths = join_hot(paths, hosts, "host", "_weight")
     low = share_bound(F.col("carried"), F.col("pages"), -1)
-    paths = paths.withColumn("rare", share_bound(F.col("carried"), F.col("pages"), 1) <= RARE_SHARE)
+    paths = paths.withColumn("rare", (F.col("carried") == 1) & (share_bound(F.col("carried"), F.col("pages"), 1) <= RARE_SHARE))
     own_tail = (F.col("known") > 0) & (2 * F.col("inside") < F.col("known"))
     common = (low > RARE_SHARE) & ((F.col("least") == F.col("most")) | ~F.col("data"))
     constant = (low >= INSIDE_SHARE) & own_tail & (F.col("least") == F.col("most"))
