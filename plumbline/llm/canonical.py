@@ -24,16 +24,29 @@ SALTS = 16
 BROADCAST_PIECES = 100_000
 
 
-def _harmless() -> str:
-    """Frequent characters that no rule touches, as the inside of a short Java class; ASCII is tried first."""
-    special = set(la.special_characters())
-    blocks = [*range(0x20, 0x250), *range(0x2010, 0x2027), *range(0x20A0, 0x20C0), *range(0x2190, 0x222C), *range(0x4E00, 0xA000)]
-    return r"\n" + la.java_class("".join(chr(c) for c in blocks if chr(c) not in special))
+def _blocks(*ranges: tuple[int, int], special: bool) -> str:
+    """The special, or the other, characters of frequent blocks, as the inside of a short Java class."""
+    known = set(la.special_characters())
+    return la.java_class("".join(chr(c) for a, b in ranges for c in range(a, b) if (chr(c) in known) is special))
+
+
+def _java_classes() -> tuple[str, str, str, str]:
+    """Java classes: characters that no rule touches, special ones, attaching marks, marks or invisible characters.
+
+    A long class costs a test for each of its hundreds of ranges, so short classes of frequent characters decide first.
+    """
+    special, marks, gone = (la.java_class(c) for c in (la.special_characters(), la.attaching_characters(), la.invisible_characters()))
+    harmless = r"\n\x20-\x7E[" + _blocks((0xA0, 0x250), (0x2010, 0x2027), (0x20A0, 0x20C0), (0x2190, 0x222C), (0x4E00, 0xA000), special=False) + "]"
+    frequent = _blocks((0xFF01, 0xFF5F), (0xA0, 0xC0), (0x2000, 0x2012), (0x370, 0x460), (0xFB00, 0xFB07), special=True)
+    apart = r"\n\x20-\x7E[\xA0-\xAC\xAE-\x{2FF}\x{370}-\x{482}\x{2000}-\x{200A}\x{2010}-\x{2027}\x{FF01}-\x{FF5E}\x{4E00}-\x{9FFF}]"
+    untouched = f"[{harmless}[[^{frequent}]&&[^{special}]]]"
+    touched = f"[[^{harmless}]&&[{frequent}[{special}]]]"
+    return untouched, touched, f"[[^{apart}]&&[{marks}]]", f"[[^{apart}]&&[{gone}{marks}]]"
 
 
 def has_special(text: Column) -> Column:
-    """Whether a text holds a special character; the look-ahead spares frequent characters the long class."""
-    return text.rlike(f"(?=[^{_harmless()}])[{la.java_class(la.special_characters())}]")
+    """Whether a text holds a special character."""
+    return text.rlike(_java_classes()[1])
 
 
 def pieces(text: Column) -> Column:
@@ -41,9 +54,9 @@ def pieces(text: Column) -> Column:
 
     A mark attaches to the character before it, be it across characters without a visible form.
     """
-    special, marks, gone = (la.java_class(c) for c in (la.special_characters(), la.attaching_characters(), la.invisible_characters()))
+    untouched, _, mark, mark_or_gone = _java_classes()
     # loops over classes only: the length of a stretch costs no stack
-    pattern = f"[{_harmless()}[^{special}]]+(?![{gone}]*+[{marks}])|(?s:.)[{gone}{marks}]*[{marks}]|(?s:.)"
+    pattern = f"{untouched}+(?!{mark_or_gone}*{mark})|(?s:.){mark_or_gone}*{mark}|(?s:.)"
     return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
 
 
