@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Setting: the number of parts into which operators that do much work per row spread their input; unset, they take it as it comes.
+PARTS = "spark.plumbline.parts"
+
 
 def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession:
     """A session for tests and the benchmark; a cluster brings its own."""
@@ -17,6 +20,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("PLUMBLINE_CHECKPOINT_DIR", "/tmp/plumbline-checkpoint"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config(PARTS, cores if cores.isdigit() else "8")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
@@ -30,12 +36,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the cluster's ``spark.checkpoint.dir``; sets a temporary one only where none is named."""
+    """Uses the shared folder that the session names in ``spark.checkpoint.dir``; without one there is none that all executors share."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
+    if not named:
+        # a session of one machine has no other executors; only there is a folder of its own right
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = os.environ.get("PLUMBLINE_CHECKPOINT_DIR", "/tmp/plumbline-checkpoint")
+    sc.setCheckpointDir(named)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -52,10 +63,10 @@ def bounded_list(df: DataFrame, column: str, bound: int) -> list:
     return sorted(r[0] for r in rows)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over all cores where its files have too few parts for that; large inputs come back as they are.
+def spread(df: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """``df`` hashed by ``key`` into ``parts`` parts, by default the number in the setting PARTS; as it is where neither is given.
 
-    Hashing by ``key`` and the content of nothing else keeps the parts the same when a task runs again.
+    The size of the input plays no part: the setting says whether files come in too few parts for the cores.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    parts = parts or int(df.sparkSession.conf.get(PARTS, "0"))
+    return df.repartition(parts, key) if parts else df

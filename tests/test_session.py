@@ -1,15 +1,53 @@
-from plumbline.session import bounded_list, cut, read_table, spread
+from plumbline.session import PARTS, bounded_list, cut, ensure_checkpoint_dir, read_table, spread
 
 import pytest
 
 
-def test_spread_keeps_every_row(spark):
-    few = spark.range(100).coalesce(1)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_spread_goes_by_its_parameter_and_not_by_size(spark):
+    few, many = spark.range(100).coalesce(1), spark.range(100).repartition(64)
+    assert spread(few, "id", 3).rdd.getNumPartitions() == spread(many, "id", 3).rdd.getNumPartitions() == 3
+    assert spread(few, "id").rdd.getNumPartitions() == int(spark.conf.get(PARTS))
     assert sorted(r.id for r in spread(few, "id").collect()) == list(range(100))
-    many = spark.range(100).repartition(64)
-    assert spread(many, "id") is many
     assert spread(spark.range(0), "id").count() == 0
+    kept = spark.conf.get(PARTS)
+    spark.conf.unset(PARTS)
+    spark.conf.set(PARTS, "0")
+    assert spread(few, "id") is few and spread(many, "id") is many
+    spark.conf.set(PARTS, kept)
+
+
+def test_no_folder_of_one_machine_on_a_cluster():
+    class Nothing:
+        def isDefined(self):
+            return False
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class Sc:
+                    @staticmethod
+                    def getCheckpointDir():
+                        return Nothing()
+
+                return Sc
+
+        @staticmethod
+        def getConf():
+            return {}
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="share"):
+        ensure_checkpoint_dir(Session)
 
 
 def test_cut_is_reliable_and_equal(spark):
