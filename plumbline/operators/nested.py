@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,10 +97,16 @@ def document_nodes(decision: object, evidence: object, with_fields: bool) -> lis
     return rows
 
 
+_NODE_TYPES = [("src", pa.string()), ("kind", pa.string()), ("pre", pa.int32()), ("post", pa.int32()), ("depth", pa.int32()), ("pos", pa.int32()), ("url", pa.string()), ("fields", pa.string())]
+
+
 def _nodes_udf(with_fields: bool):
-    @F.pandas_udf(NODE)
-    def nodes(decision: pd.Series, evidence: pd.Series) -> pd.Series:
-        return pd.Series([document_nodes(d, e, with_fields) for d, e in zip(decision, evidence)])
+    @F.arrow_udf(NODE)
+    def nodes(decision: pa.Array, evidence: pa.Array) -> pa.Array:
+        rows = [document_nodes(d, e, with_fields) for d, e in zip(decision.to_pylist(), evidence.to_pylist())]
+        flat = [r for document in rows for r in document]
+        columns = [pa.array([r[i] for r in flat], kind) for i, (_, kind) in enumerate(_NODE_TYPES)]
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rows)]), pa.int32()), pa.StructArray.from_arrays(columns, [n for n, _ in _NODE_TYPES]))
 
     return nodes
 
@@ -112,8 +119,9 @@ def nested_rows(completions: DataFrame, with_fields: bool = False) -> DataFrame:
     the latest ``completed_at`` counts, at ties the greater text. Null, empty, truncated or otherwise
     unreadable text has no objects. Rows without product_id cannot be linked and are left out.
     ``parent_pos`` comes from the fact whose interval contains the quote's; ``doc_pos`` is the first
-    evidence document with exactly the url, else -1. Both links run on the one shuffle by product_id:
-    a product is one document after the collapse, so no group grows with the table.
+    evidence document with exactly the url, else -1. One exchange brings a product's documents together
+    (after the latest were taken before it), a second one its node rows: a product is one document after
+    the collapse, so no group grows with the table.
     """
     one = (
         completions.select("product_id", "completed_at", "decision_json", "evidence_json")
@@ -122,6 +130,8 @@ def nested_rows(completions: DataFrame, with_fields: bool = False) -> DataFrame:
         .agg(F.max(F.struct("completed_at", "decision_json", "evidence_json")).alias("_c"))
     )
     node = one.select("product_id", F.explode(_nodes_udf(with_fields)("_c.decision_json", "_c.evidence_json")).alias("n")).select("product_id", "n.*")
+    # the UDF forgets how its input was partitioned: one exchange of node rows, without their documents, serves both links
+    node = node.repartition("product_id")
     above = Window.partitionBy("product_id", "src").orderBy("pre").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     same_url = Window.partitionBy("product_id", "url")
     fact = F.last(F.when(F.col("kind") == "fact", F.struct("pre", "post", "pos")), ignorenulls=True).over(above)
@@ -158,9 +168,17 @@ TABLE_FIELDS = {
 }
 
 
+def _typed(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.select("product_id", "parent_pos", "child_pos", "doc_pos", F.from_json("fields", TABLE_FIELDS[kind]).alias("_v")).select("product_id", "parent_pos", "child_pos", "doc_pos", "_v.*")
+
+
 def flat_table(completions: DataFrame, kind: str) -> DataFrame:
     """The flat table of one kind: product_id, parent_pos, child_pos, doc_pos and its typed fields."""
-    rows = nested_rows(completions, with_fields=True).where(F.col("child_kind") == kind)
-    return rows.select("product_id", "parent_pos", "child_pos", "doc_pos", F.from_json("fields", TABLE_FIELDS[kind]).alias("_v")).select(
-        "product_id", "parent_pos", "child_pos", "doc_pos", "_v.*"
-    )
+    return _typed(nested_rows(completions, with_fields=True).where(F.col("child_kind") == kind), kind)
+
+
+def write_flat_tables(completions: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """All flat tables from one traversal: node rows are written to ``folder`` by kind, each table reads its part of them."""
+    nested_rows(completions, with_fields=True).write.mode("overwrite").partitionBy("child_kind").parquet(folder)
+    rows = completions.sparkSession.read.schema("product_id string, parent_pos int, child_pos int, doc_pos int, fields string, child_kind string").parquet(folder)
+    return {kind: _typed(rows.where(F.col("child_kind") == kind), kind) for kind in TABLE_FIELDS}

@@ -3,7 +3,8 @@
 Every delivered generation is unpivoted into signed cells: a row adds its cells to the step into its
 own generation (+1) and takes them from the step into the next delivered one (-1). A key-presence
 marker travels with the cells. Cells that are equal on both sides cancel; what is left tells added,
-removed and changed keys, and which fields changed. No join of snapshot with snapshot takes place.
+removed and changed keys, and which fields changed. No join of snapshot with snapshot takes place;
+the rows of a step meet in one exchange, after the repeats were taken out before it.
 """
 
 from __future__ import annotations
@@ -64,18 +65,26 @@ def snapshot_changes(snapshot: DataFrame, max_generations: int = MAX_GENERATIONS
     ]
     kind = snapshot.schema["generation"].dataType.simpleString()
     to = spark.createDataFrame(steps, f"generation {kind}, _sign int, _step {kind}")
-    signed = (
-        latest_rows(snapshot)
-        .select("generation", "product_id", payload_cells(F.col("payload_json")).alias("_cells"))
+    row = F.struct("refreshed_at", F.struct("payload_json").alias("p"))
+    sides = (
+        snapshot.select("generation", "product_id", "refreshed_at", "payload_json")
+        .where(F.col("generation").isNotNull() & F.col("product_id").isNotNull())
         .join(F.broadcast(to), "generation")
-        .select("_step", "product_id", "_sign", "_cells")
-        .repartition("_step", "product_id")
+        .groupBy("_step", "product_id")
+        .agg(*[F.max(F.when(F.col("_sign") == sign, row)).getField("p").alias(side) for side, sign in (("_new", 1), ("_old", -1))])
+        # the same text on both sides is the same cells, which cancel
+        .where(~F.col("_new").eqNullSafe(F.col("_old")))
     )
     marker = F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("value")))
-    cells = signed.select("_step", "product_id", "_sign", F.explode(F.concat(marker, "_cells")).alias("_c"))
+
+    def signed(side: str, sign: int) -> F.Column:
+        cells = F.transform(F.concat(marker, payload_cells(F.col(side + ".payload_json"))), lambda c: F.struct(c["field"].alias("field"), c["value"].alias("value"), F.lit(sign).alias("sign")))
+        return F.when(F.col(side).isNotNull(), cells).otherwise(F.array().cast("array<struct<field:string,value:string,sign:int>>"))
+
+    cells = sides.select("_step", "product_id", F.explode(F.concat(signed("_new", 1), signed("_old", -1))).alias("_c"))
     left = (
         cells.groupBy("_step", "product_id", F.col("_c.field").alias("field"), F.col("_c.value").alias("value"))
-        .agg(F.sum("_sign").alias("_n"))
+        .agg(F.sum("_c.sign").alias("_n"))
         .where("_n <> 0")
     )
     presence = F.sum(F.when(F.col("field").isNull(), F.col("_n")))

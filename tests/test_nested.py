@@ -66,3 +66,17 @@ def test_flat_tables_read_their_fields(spark):
     df = spark.createDataFrame([("P", T, json.dumps(d), "[]")], "product_id string, completed_at timestamp, decision_json string, evidence_json string")
     r = nested.flat_table(df, "fact").collect()[0]
     assert (r.name, r.value, r.unit, r.confidence, r.evidence_urls) == ("n", "3", None, 0.5, ["a"])
+
+
+def test_one_pass_writes_all_tables(spark, tmp_path):
+    df = spark.createDataFrame([("P", T, json.dumps(DECISION), json.dumps(EVIDENCE)), ("Q", T, None, None)], "product_id string, completed_at timestamp, decision_json string, evidence_json string")
+    tables = nested.write_flat_tables(df, str(tmp_path / "nodes"))
+    assert set(tables) == set(nested.KIND_NAMES)
+    for kind, table in tables.items():
+        assert sorted(map(str, table.collect())) == sorted(map(str, nested.flat_table(df, kind).collect()))
+
+
+def test_exchanges(spark):
+    df = spark.createDataFrame([("P", T, "{}", "[]")], "product_id string, completed_at timestamp, decision_json string, evidence_json string")
+    plan = nested.nested_rows(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2

@@ -54,3 +54,9 @@ def test_added_changed_removed_add_up(spark):
     new = {f"P{i}": i // 3 for i in range(2, 60, 2)}
     assert sum(k == "removed" for k, _ in got.values()) == len(old.keys() - new.keys())
     assert sum(k == "changed" for k, _ in got.values()) == sum(old[k] != new[k] for k in old.keys() & new.keys())
+
+
+def test_one_exchange(spark):
+    df = spark.createDataFrame([(1, "P", "{}", T1), (2, "P", "{}", T1)], "generation int, product_id string, payload_json string, refreshed_at timestamp")
+    plan = snapshot_changes(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
