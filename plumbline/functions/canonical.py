@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import hmac
-import struct
+import json
 
 import pandas as pd
 from pyspark.sql import Column
@@ -44,10 +44,11 @@ RECEIPT_DOMAIN = b"evidence-receipt"
 
 
 def sign(key: bytes, url: str, content: str, domain: bytes = RECEIPT_DOMAIN) -> str:
-    """Receipt of a page: HMAC-SHA256 over domain, version, url length, url and content hash."""
-    raw = url.encode()
-    message = domain + b"\x01" + struct.pack(">Q", len(raw)) + raw + hashlib.sha256(content.encode("utf-8", "surrogatepass")).digest()
-    return RECEIPT_VERSION + "." + base64.urlsafe_b64encode(hmac.new(key, message, hashlib.sha256).digest()).rstrip(b"=").decode()
+    """Receipt of a page: HMAC-SHA256 over a JSON list of domain, version, url and content hash."""
+    body = hashlib.sha256(content.encode("utf-8", "surrogatepass")).hexdigest()
+    message = json.dumps([domain.decode(), RECEIPT_VERSION, url, body], separators=(",", ":"))
+    code = hmac.digest(key, message.encode(), "sha256")
+    return f"{RECEIPT_VERSION}.{base64.urlsafe_b64encode(code).decode().rstrip('=')}"
 
 
 def receipt_state(receipt: Column | str) -> Column:

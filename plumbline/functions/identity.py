@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+_RUN = re.compile(r"[^\W_]+")
+
 
 def identity_key(text: object, compatibility: bool = True) -> str:
     """Letters and digits only, case folded; with ``compatibility`` forms unified first."""
@@ -34,22 +37,67 @@ def identity_key_column(text: Column | str, compatibility: bool = True) -> Colum
     return F.when(c.rlike(r"^[\x00-\x7f]*$"), F.regexp_replace(F.lower(c), "[^a-z0-9]", "")).otherwise(identity_key_udf(compatibility)(other))
 
 
-# What must not stand before and behind a model, and what may stand between its tokens.
-NOT_BEFORE = r"(?<![^\W_])(?<![^\W_][.\-_/])"
-NOT_BEHIND = r"(?![^\W_])(?![.\-_/][^\W_])"
-BETWEEN = r"[\W_]*"
+#: Between two words one such character alone joins them into one name.
+JOINERS = frozenset("._-/")
+
+
+def _spans(text: str) -> tuple[list[str], list[str]]:
+    """The words of a folded text and the gaps around them: one more gap than words."""
+    words, gaps, at = [], [], 0
+    for m in _RUN.finditer(text):
+        gaps.append(text[at : m.start()])
+        words.append(m.group())
+        at = m.end()
+    return words, [*gaps, text[at:]]
+
+
+def _fold(text: object) -> str:
+    return unicodedata.normalize("NFKC", str(text)).casefold()
+
+
+def names(text: object, model: object) -> bool:
+    """Whether a text names exactly the model, at the positions of its words.
+
+    The model's words must follow each other in the text, run together or apart by any punctuation and
+    space; a word of the text never holds more than that, and no further word is joined to the place by
+    a single dot, hyphen, underscore or slash. Compatibility forms and letter case do not count. False
+    where either is missing or the model has no word.
+    """
+    if text is None or model is None:
+        return False
+    wanted, _ = _spans(_fold(model))
+    if not wanted:
+        return False
+    ends, total = set(), 0
+    for w in wanted:
+        total += len(w)
+        ends.add(total)
+    key = "".join(wanted)
+    words, gaps = _spans(_fold(text))
+    for first in range(len(words)):
+        if not key.startswith(words[first]) or (first and gaps[first] in JOINERS):
+            continue
+        at, last = 0, first
+        while last < len(words) and at < total and key.startswith(words[last], at) and at + len(words[last]) in ends:
+            at += len(words[last])
+            last += 1
+        if at == total and (last == len(words) or gaps[last] not in JOINERS):
+            return True
+    return False
 
 
-def identity_pattern(model: Column | str) -> Column:
-    """Java pattern that finds exactly this model: tokens with free punctuation between, no letter, digit or joined neighbour around."""
-    tokens = F.filter(F.split(F.lower(model), r"(?U)[\W_]+"), lambda t: t != "")
-    quoted = F.transform(tokens, lambda t: F.concat(F.lit(r"\Q"), t, F.lit(r"\E")))
-    return F.when(F.size(tokens) > 0, F.concat(F.lit("(?U)" + NOT_BEFORE), F.array_join(quoted, BETWEEN), F.lit(NOT_BEHIND)))
+def names_model(text: Column | str, model: Column | str) -> Column:
+    """Column form of ``names``. Texts that cannot hold the model's letters and digits in a row never leave the JVM."""
+    t, m = (F.col(x) if isinstance(x, str) else x for x in (text, model))
+    bare = lambda c: F.regexp_replace(F.lower(c), "[^a-z0-9]", "")
+    plain = t.rlike(r"^[\x00-\x7f]*$") & m.rlike(r"^[\x00-\x7f]*$")
+    maybe = ~plain | F.contains(bare(t), bare(m))
 
+    @F.pandas_udf("boolean")
+    def exact(texts: pd.Series, models: pd.Series) -> pd.Series:
+        return pd.Series([names(a, b) for a, b in zip(texts, models)], dtype=bool)
 
-def names_model(text: Column | str, model: Column | str) -> Column:
-    """Whether the text names exactly the model; false where either is missing."""
-    return F.coalesce(F.call_function("rlike", F.lower(text), identity_pattern(model)), F.lit(False))
+    return F.coalesce(exact(F.when(maybe, t), m), F.lit(False))
 
 
 def slug(text: object, most: int = 96) -> str | None:

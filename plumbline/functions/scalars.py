@@ -26,9 +26,8 @@ def table_cell(text: Column | str) -> Column:
 
 
 def probability(text: Column | str) -> Column:
-    """A number in [0, 1] written as plain decimal, else null."""
-    value = F.when(F.trim(text).rlike(r"^\d+(\.\d+)?$"), F.trim(text).try_cast("double"))
-    return F.when(value.between(0.0, 1.0), value)
+    """A number in [0, 1] written as plain decimal without further leading zeros, else null."""
+    return F.when(F.trim(text).rlike(r"^(0(\.\d+)?|1(\.0+)?)$"), F.trim(text).try_cast("double"))
 
 
 # Names of product categories and the broad category they belong to.
@@ -54,10 +53,19 @@ def iso_date(text: Column | str) -> Column:
     return F.regexp_extract(text, r"^(\d{4}-\d{2}-\d{2})", 1)
 
 
-def retry_after(text: Column | str, most: float) -> Column:
-    """Seconds of a Retry-After header given as a number, between 0 and ``most``; null if it is none."""
+def retry_after(text: Column | str, most: float, now: Column | None = None) -> Column:
+    """Seconds of a Retry-After header between 0 and ``most``: a number, or an HTTP date as seen from ``now``; null if it is neither."""
     n = F.trim(text).try_cast("double")
-    return F.when(n.isNotNull() & ~F.isnan(n), F.least(F.greatest(n, F.lit(0.0)), F.lit(most)))
+    at = F.try_to_timestamp(F.regexp_replace(F.trim(text), r"^[A-Z][a-z]{2}, (.*) GMT$", "$1 +0000"), F.lit("dd MMM yyyy HH:mm:ss Z"))
+    wait = F.unix_timestamp(at).cast("double") - F.unix_timestamp(now if now is not None else F.current_timestamp()).cast("double")
+    bounded = lambda v: F.when(v.isNotNull(), F.least(F.greatest(v, F.lit(0.0)), F.lit(most)))
+    return F.when(n.isNotNull(), F.when(~F.isnan(n) & (n != F.lit(float("-inf"))), bounded(n))).otherwise(bounded(wait))
+
+
+def operator_time(text: Column | str) -> Column:
+    """An ISO-8601 time with its zone, as an operator types it; null without a zone."""
+    c = F.trim(text)
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})$"), c.try_cast("timestamp"))
 
 
 def steps(values: list[int], failures: Column | str) -> Column:

@@ -1,10 +1,10 @@
-"""URL expressions. Native ones work on columns inside the JVM; full validation is an Arrow UDF."""
+"""URL expressions on columns, inside the JVM. Only hosts and characters that need tables of their own (IDNA, IP literals, escaping) go through Arrow UDFs, and only where a row has them."""
 
 from __future__ import annotations
 
 import ipaddress
 import re
-from urllib.parse import quote, urlsplit, urlunsplit
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column
@@ -15,6 +15,15 @@ from pyspark.sql import functions as F
 TRACKING_KEYS = ["fbclid", "gclid", "mc_cid", "mc_eid", "ref", "source"]
 PRIVATE_SUFFIXES = (".localhost", ".local", ".internal", ".lan", ".home.arpa")
 COUNTRY_SECOND_LEVELS = ["ac", "co", "com", "edu", "gov", "net", "org"]
+# Suffixes of hosts that unrelated tenants share.
+SHARED_HOSTS = (
+    "amazonaws.com appspot.com azurewebsites.net azureedge.net backblazeb2.com blob.core.windows.net blogspot.com box.com canva.site carrd.co "
+    "cloudfront.net cloudfunctions.net digitaloceanspaces.com docs.google.com drive.google.com dropbox.com facebook.com firebaseapp.com ghost.io "
+    "github.io githubusercontent.com gitlab.io groups.google.com hashnode.dev herokuapp.com instagram.com issuu.com linkedin.com linodeobjects.com "
+    "medium.com myshopify.com netlify.app notion.site notion.so onrender.com onedrive.live.com pages.dev r2.cloudflarestorage.com r2.dev "
+    "readthedocs.io reddit.com run.app scribd.com sharepoint.com sites.google.com slideshare.net storage.googleapis.com substack.com surge.sh "
+    "tumblr.com twitter.com vercel.app wasabisys.com web.app weebly.com wixsite.com workers.dev wordpress.com x.com youtube.com youtu.be"
+).split()
 SAFE_IN_PATH = "/@:-._~!$&'*+,;=%"
 SAFE_IN_QUERY = "=&?/:@-._~!$'*+,;%"
 SAFE_IN_FRAGMENT = "?/:@-._~!$&'*+,;=%"
@@ -43,20 +52,73 @@ def is_pdf(url: Column | str) -> Column:
     return F.lower(path(url)).endswith(".pdf")
 
 
+_WHOLE = r"(?s)^\s*([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
+_AUTHORITY = r"^(\[[^\[\]@]+\]|[^:@\[\]]+)(?::(\d*))?$"
+
+
+def _part(url: Column | str, i: int) -> Column:
+    """Scheme, authority, path, query with its sign, fragment with its sign; empty where there is none."""
+    return F.regexp_extract(F.rtrim(url), _WHOLE, i)
+
+
+def _netloc(url: Column | str, host_of, port_ok) -> Column:
+    """Host and, if it is not the scheme's own, port; null with credentials, another scheme or a host or port that does not pass."""
+    scheme, authority = F.lower(_part(url, 1)), _part(url, 2)
+    name = host_of(F.regexp_replace(F.lower(F.regexp_extract(authority, _AUTHORITY, 1)), r"\.$", ""))
+    port = F.regexp_extract(authority, _AUTHORITY, 2)
+    own = (port == "") | ((scheme == "http") & (port == "80")) | ((scheme == "https") & (port == "443"))
+    shown = F.when(own, name).otherwise(F.concat(name, F.lit(":"), port))
+    return F.when(scheme.isin("http", "https") & port_ok(port) & (name != ""), shown)
+
+
+def _standard(url: Column | str) -> Column:
+    return _netloc(url, lambda name: name, lambda port: port.isin("", "80", "443"))
+
+
+def _rooted(path_col: Column) -> Column:
+    return F.when(path_col == "", "/").otherwise(path_col)
+
+
+def _pairs(url: Column | str) -> Column:
+    """The decoded (k, v) pairs of the query in order; a name without a value has an empty one."""
+    decode = lambda x: F.coalesce(F.try_url_decode(x), F.translate(x, "+", " "))
+    fields = F.filter(F.split(F.substring(_part(url, 4), 2, 1_000_000_000), "&"), lambda p: p != "")
+    name = lambda p: F.regexp_extract(p, "(?s)^([^=]*)", 1)
+    value = lambda p: F.regexp_extract(p, "(?s)^[^=]*=(.*)$", 1)
+    return F.transform(fields, lambda p: F.struct(decode(name(p)).alias("k"), decode(value(p)).alias("v")))
+
+
+def _query(pairs: Column) -> Column:
+    """Pairs as a query with its sign, in the encoding of forms."""
+    encode = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+    text = F.array_join(F.transform(pairs, lambda p: F.concat(encode(p["k"]), F.lit("="), encode(p["v"]))), "&")
+    return F.when(F.size(pairs) > 0, F.concat(F.lit("?"), text)).otherwise("")
+
+
+def search_url(url: Column | str) -> Column:
+    """Normal form of a search result: standard port dropped, query decoded and encoded again, no fragment. Null for what is no http(s) url or names another port or credentials."""
+    return F.concat(F.lower(_part(url, 1)), F.lit("://"), _standard(url), _rooted(_part(url, 3)), _query(_pairs(url)))
+
+
 def dedupe_key(url: Column | str) -> Column:
-    """Key under which two urls count as the same page: no fragment, no tracking, sorted query, no last slash, lower case.
+    """Key under which two urls count as the same page: as ``search_url``, without tracking keys, pairs sorted, no last slash, lower case."""
+    kept = F.filter(_pairs(url), lambda p: ~F.lower(p["k"]).startswith("utm_") & ~F.lower(p["k"]).isin(*TRACKING_KEYS))
+    trimmed = F.regexp_replace(_part(url, 3), r"/+$", "")
+    return F.lower(F.concat(_part(url, 1), F.lit("://"), _standard(url), _rooted(trimmed), _query(F.array_sort(kept))))
+
 
-    Percent escapes are taken as written. Null for what is no http(s) url.
-    """
-    scheme = F.lower(F.regexp_extract(url, r"(?i)^\s*(https?)://", 1))
-    pairs = F.filter(F.split(query(url), "&"), lambda p: p != "")
-    pairs = F.transform(pairs, lambda p: F.when(p.contains("="), p).otherwise(F.concat(p, F.lit("="))))
-    name = lambda p: F.lower(F.substring_index(p, "=", 1))
-    kept = F.array_sort(F.filter(pairs, lambda p: ~name(p).startswith("utm_") & ~name(p).isin(*TRACKING_KEYS)))
-    trimmed = F.regexp_replace(path(url), r"/+$", "")
-    tail = F.when(F.size(kept) > 0, F.concat(F.lit("?"), F.array_join(kept, "&"))).otherwise("")
-    key = F.lower(F.concat(scheme, F.lit("://"), host(url), F.when(trimmed == "", "/").otherwise(trimmed), tail))
-    return F.when((scheme != "") & host(url).isNotNull(), key)
+def state_url(url: Column | str) -> Column:
+    """The third form, which binds evidence to an attempt: path and query as written, no fragment, standard port dropped."""
+    asked = _part(url, 4)
+    return F.concat(F.lower(_part(url, 1)), F.lit("://"), _standard(url), _rooted(_part(url, 3)), F.when(asked == "?", "").otherwise(asked))
+
+
+def is_shared_host(host_col: Column | str) -> Column:
+    """An IP literal or a host that unrelated tenants share; false for null and blank."""
+    name = F.regexp_replace(F.lower(F.trim(host_col)), r"\.$", "")
+    octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+    literal = name.rlike(rf"^{octet}(?:\.{octet}){{3}}$") | name.rlike(r"^[0-9a-f:]*:[0-9a-f:.]*$")
+    return F.coalesce((name != "") & (literal | F.arrays_overlap(parent_domains(name), F.array(*map(F.lit, SHARED_HOSTS)))), F.lit(False))
 
 
 def parent_domains(host_col: Column | str) -> Column:
@@ -66,11 +128,11 @@ def parent_domains(host_col: Column | str) -> Column:
 
 
 def registrable_label(host_col: Column | str) -> Column:
-    """The label a host is registered under; empty for a single label."""
+    """The label a host is registered under; empty for a single label and for hosts that unrelated tenants share."""
     labels = F.filter(F.split(F.lower(host_col), r"\."), lambda x: x != "")
     n = F.size(labels)
     country = (n >= 3) & (F.length(F.try_element_at(labels, F.lit(-1))) == 2) & F.try_element_at(labels, F.lit(-2)).isin(*COUNTRY_SECOND_LEVELS)
-    return F.when(n < 2, "").when(country, F.try_element_at(labels, F.lit(-3))).otherwise(F.try_element_at(labels, F.lit(-2)))
+    return F.when((n < 2) | is_shared_host(host_col), "").when(country, F.try_element_at(labels, F.lit(-3))).otherwise(F.try_element_at(labels, F.lit(-2)))
 
 
 def last_two_labels(host_col: Column | str) -> Column:
@@ -78,46 +140,61 @@ def last_two_labels(host_col: Column | str) -> Column:
     return F.when(F.size(labels) <= 2, F.col(host_col) if isinstance(host_col, str) else host_col).otherwise(F.array_join(F.slice(labels, F.size(labels) - 1, F.lit(2)), "."))
 
 
-_LABEL = re.compile(r"(?!-)[a-z0-9-]{1,63}(?<!-)")
-_NUMERIC = re.compile(r"[0-9.]+|0x[0-9a-f.x]+")
+#: A host of plain labels, and what looks like a number in any base.
+_PLAIN_HOST = r"^(?=.{1,253}$)[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?(?:\.[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?)*$"
+_NUMBER_HOST = r"^(?:[0-9.]+|0x[0-9a-f.x]+)$"
 
 
-def public_url(url: object) -> str | None:
-    """The normal form of a public http(s) url, or None: no credentials, no local, private or numeric host."""
-    if not isinstance(url, str) or not (text := url.strip()) or any(ord(c) < 32 or ord(c) == 127 for c in text):
+def rare_host(name: object) -> str | None:
+    """The normal form of a host that is no plain name: a global IP literal, or an international name in ASCII; else None."""
+    if not isinstance(name, str):
         return None
+    bracketed = name.startswith("[")
     try:
-        parts = urlsplit(text)
-        port = parts.port
-        name = (parts.hostname or "").rstrip(".").lower()
+        address = ipaddress.ip_address(name.strip("[]") if bracketed else name)
     except ValueError:
-        return None
-    scheme = parts.scheme.lower()
-    if scheme not in ("http", "https") or not name or parts.username is not None or parts.password is not None:
-        return None
-    if name == "localhost" or name.endswith(PRIVATE_SUFFIXES) or port == 0:
+        address = None
+    if address is not None:
+        form = f"[{address.compressed}]" if address.version == 6 else address.compressed
+        return form if address.is_global else None
+    if bracketed or name.isascii():
         return None
     try:
-        address = ipaddress.ip_address(name)
-    except ValueError:
-        try:
-            name = name.encode("idna").decode("ascii")
-        except UnicodeError:
-            return None
-        if _NUMERIC.fullmatch(name) or len(name) > 253 or not all(_LABEL.fullmatch(x) for x in name.split(".")):
-            return None
-    else:
-        if not address.is_global:
-            return None
-        name = f"[{address.compressed}]" if address.version == 6 else address.compressed
-    keep_port = port is not None and (scheme, port) not in (("http", 80), ("https", 443))
-    shown = f"{name}:{port}" if keep_port else name
-    return urlunsplit((scheme, shown, quote(parts.path or "/", SAFE_IN_PATH), quote(parts.query, SAFE_IN_QUERY), quote(parts.fragment, SAFE_IN_FRAGMENT)))
-
-
-def public_url_udf():
+        ascii_name = name.encode("idna").decode("ascii")
+    except UnicodeError:
+        return None
+    return ascii_name if re.match(_PLAIN_HOST, ascii_name) and not re.match(_NUMBER_HOST, ascii_name) else None
+
+
+def _rare_host_udf():
     @F.pandas_udf("string")
-    def normal(url: pd.Series) -> pd.Series:
-        return pd.Series([public_url(u) for u in url], dtype=object)
+    def form(name: pd.Series) -> pd.Series:
+        return name.map(rare_host, na_action="ignore")
+
+    return form
+
+
+def _escaped(text: Column, safe: str) -> Column:
+    """Percent escapes for everything but letters, digits and ``safe``; text that needs none stays in the JVM."""
+    plain = text.rlike("^[A-Za-z0-9_.~" + re.escape(safe) + r"\-]*$")
+
+    @F.pandas_udf("string")
+    def escape(rare: pd.Series) -> pd.Series:
+        return rare.map(lambda t: quote(t, safe), na_action="ignore")
+
+    return F.when(plain, text).otherwise(escape(F.when(~plain, text)))
+
+
+def _public_host(name: Column) -> Column:
+    plain = name.rlike(_PLAIN_HOST) & ~name.rlike(_NUMBER_HOST)
+    private = (name == "localhost") | name.rlike("(?:" + "|".join(map(re.escape, PRIVATE_SUFFIXES)) + ")$")
+    return F.when(private, None).when(plain, name).otherwise(_rare_host_udf()(F.when(~plain & ~private, name)))
+
 
-    return normal
+def public_url(url: Column | str) -> Column:
+    """The normal form of a public http(s) url, or null: no credentials, no control characters, no local, private or numeric host."""
+    c = F.col(url) if isinstance(url, str) else url
+    port_ok = lambda p: (p == "") | (p.try_cast("int").between(1, 65535))
+    tail = lambda i, safe: F.when(F.length(_part(c, i)) > 1, F.concat(F.substring(_part(c, i), 1, 1), _escaped(F.substring(_part(c, i), 2, 1_000_000_000), safe))).otherwise("")
+    whole = F.concat(F.lower(_part(c, 1)), F.lit("://"), _netloc(c, _public_host, port_ok), _escaped(_rooted(_part(c, 3)), SAFE_IN_PATH), tail(4, SAFE_IN_QUERY), tail(5, SAFE_IN_FRAGMENT))
+    return F.when(~F.trim(c).rlike(r"[\x00-\x1f\x7f]"), whole)

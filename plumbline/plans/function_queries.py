@@ -99,14 +99,38 @@ def _(s, d):
     return read_table(s, d, "fact_item").where("category is not null").select("category").distinct().select("category", scalars.broad_category("category").alias("broad"))
 
 
-@query("str12_probabilities", "select fact_id, case when regexp_full_match(trim(value), '\\d+(\\.\\d+)?') and trim(value)::double between 0 and 1 then trim(value)::double end as p from fact_item")
+@query("str12_probabilities", "select fact_id, case when regexp_full_match(trim(value), '0(\\.\\d+)?|1(\\.0+)?') then trim(value)::double end as p from fact_item")
 def _(s, d):
     return read_table(s, d, "fact_item").select("fact_id", scalars.probability("value").alias("p"))
 
 
-@query("url01_public_urls")
+_HOST = "lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1))"
+_PORT = "regexp_extract(url, '^[A-Za-z]+://[^/?#:]*:(\\d*)', 1)"
+_PATH = "coalesce(nullif(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), ''), '/')"
+_FRAGMENT = "case when regexp_matches(url, '#.') then '#' || regexp_extract(url, '#(.*)$', 1) else '' end"
+_ASKED = "case when regexp_matches(url, '^[^#]*[?][^#]') then '?' || regexp_extract(url, '[?]([^#]*)', 1) else '' end"
+_STANDARD = f"lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) || '://' || {_HOST} || case when {_PORT} in ('80', '443') and ({_PORT} = '80') <> (lower(regexp_extract(url, '^([A-Za-z]+)://', 1)) = 'http') then ':' || {_PORT} else '' end"
+_ALLOWED = f"regexp_full_match(lower(regexp_extract(url, '^([A-Za-z]+)://', 1)), 'https?') and {_HOST} <> '' and {_PORT} in ('', '80', '443')"
+
+
+@query("url02_search_urls", f"select url, count(*) as n from (select case when {_ALLOWED} then {_STANDARD} || {_PATH} || {_ASKED} end as url from web_fetch_exa) group by url")
+def _(s, d):
+    return read_table(s, d, "web_fetch_exa").select(urls.search_url("url").alias("url")).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("url03_state_urls", f"select fact_id, case when {_ALLOWED} then {_STANDARD} || {_PATH} || {_ASKED} end as url from (select fact_id, evidence_url as url from fact_item)")
+def _(s, d):
+    return read_table(s, d, "fact_item").select("fact_id", urls.state_url("evidence_url").alias("url"))
+
+
+@query("url07_shared_hosts", "select distinct h as host, " + " or ".join(f"h = '{x}' or ends_with(h, '.{x}')" for x in urls.SHARED_HOSTS) + " or regexp_full_match(h, '[0-9.]+') as shared from (select lower(source) as h from documents where source is not null)")
+def _(s, d):
+    return read_table(s, d, "documents").where("source is not null").select(F.lower("source").alias("host")).distinct().select("host", urls.is_shared_host("host").alias("shared"))
+
+
+@query("url01_public_urls", f"select fetch_id, case when regexp_full_match(lower(regexp_extract(url, '^([A-Za-z]+)://', 1)), 'https?') and {_HOST} <> '' then {_STANDARD} || {_PATH} || {_ASKED} || {_FRAGMENT} end as url from web_fetch_exa")
 def _(s, d):
-    return read_table(s, d, "web_fetch_exa").select("fetch_id", urls.public_url_udf()("url").alias("url"))
+    return read_table(s, d, "web_fetch_exa").select("fetch_id", urls.public_url("url").alias("url"))
 
 
 @query("url04_standard_ports", "select fetch_id, regexp_extract(url, '://[^/?#:]*:?(\\d*)', 1) in ('', '80', '443') as standard from web_fetch_exa")

@@ -279,7 +279,7 @@ def _(s, d):
 def _(s, d):
     """Pages of completed products: the product line as managed block, what people wrote kept around it."""
     rows = completions(s, d).where("product_id is not null").groupBy("product_id").agg(F.max("outcome").alias("outcome"), F.max("wiki_path").alias("wiki_path"))
-    return rows.select("product_id", render.merge_udf()(F.col("wiki_path"), F.concat_ws(": ", "product_id", "outcome")).alias("page"))
+    return rows.select("product_id", render.merge_managed(F.col("wiki_path"), F.concat_ws(": ", "product_id", "outcome")).alias("page"))
 
 
 @query("set_constraint_violations", "select 'published_but_not_publishable' as rule, count(*) as n from product_research_completions where published_at is not null and publishable <> 1 union all select 'bad_source_hash', count(*) from product_research_completions where source_hash is null or not regexp_full_match(source_hash, '[0-9a-f]{64}') union all select 'path_without_action', count(*) from product_research_completions where wiki_path is not null and wiki_action is null")

@@ -10,6 +10,12 @@ def one(spark, column, **values):
     return df.select(column.alias("r")).collect()[0].r
 
 
+def each(spark, column, values):
+    """The results of a column over ``u``, in the order of the values."""
+    rows = spark.createDataFrame(list(enumerate(values)), "i int, u string").select("i", column.alias("r")).collect()
+    return [r.r for r in sorted(rows, key=lambda r: r.i)]
+
+
 def test_dedupe_key(spark):
     key = lambda u: one(spark, urls.dedupe_key("u"), u=u)
     assert key("HTTPS://WWW.A.example/P/?utm_source=x&b=2&a=1&ref=q#f") == "https://www.a.example/p?a=1&b=2"
@@ -18,11 +24,30 @@ def test_dedupe_key(spark):
     assert one(spark, urls.dedupe_key(F.lit(None).cast("string"))) is None
 
 
-def test_public_url():
-    assert urls.public_url("HTTP://Exämple.com:80/a b?x=(1)#f") == "http://xn--exmple-cua.com/a%20b?x=%281%29#f"
-    assert urls.public_url("https://a.example:8443/x") == "https://a.example:8443/x"
-    for bad in (None, "", "ftp://a.b/", "http://u:p@a.b/", "http://localhost/", "http://x.local/", "http://10.0.0.1/", "http://127.1/", "http://0x7f000001/", "http://[::1]/", "http://a_b.c/", "http://a.b:99999/", "http://a\nb/"):
-        assert urls.public_url(bad) is None, bad
+def test_three_forms_of_urls(spark):
+    given = ["http://h:8080/x", "https://h:443/a%20b/?q=a+b&q=%C3%BC&z#f", "http://h:443/x", "http://u:p@h/x", "http://H./", "https://h/p?", "https://h/?UTM_x=1&b=*~&Ref=2", "h/x", "http://[2001:db8::1]:80/", None, ""]
+    assert each(spark, urls.search_url("u"), given) == [None, "https://h/a%20b/?q=a+b&q=%C3%BC&z=", "http://h:443/x", None, "http://h/", "https://h/p", "https://h/?UTM_x=1&b=%2A~&Ref=2", None, "http://[2001:db8::1]/", None, None]
+    assert each(spark, urls.dedupe_key("u"), given) == [None, "https://h/a%20b?q=a+b&q=%c3%bc&z=", "http://h:443/x", None, "http://h/", "https://h/p", "https://h/?b=%2a~", None, "http://[2001:db8::1]/", None, None]
+    assert each(spark, urls.state_url("u"), given) == [None, "https://h/a%20b/?q=a+b&q=%C3%BC&z", "http://h:443/x", None, "http://h/", "https://h/p", "https://h/?UTM_x=1&b=*~&Ref=2", None, "http://[2001:db8::1]/", None, None]
+
+
+def test_public_url(spark):
+    good = {
+        "HTTP://Exämple.com:80/a b?x=(1)#f": "http://xn--exmple-cua.com/a%20b?x=%281%29#f",
+        "https://a.example:8443/x": "https://a.example:8443/x",
+        " https://A.example ": "https://a.example/",
+        "http://8.8.8.8/": "http://8.8.8.8/",
+        "https://[2606:4700:4700::1111]:443/": "https://[2606:4700:4700::1111]/",
+        "https://a.example./%zz?#": "https://a.example/%zz",
+    }
+    assert each(spark, urls.public_url("u"), list(good)) == list(good.values())
+    bad = [None, "", "ftp://a.b/", "http://u:p@a.b/", "http://localhost/", "http://x.local/", "http://10.0.0.1/", "http://127.1/", "http://0x7f000001/", "http://[::1]/", "http://a_b.c/", "http://a.b:99999/", "http://a\nb/", "http://-a.b/", "http://a..b/", "http://a.b:0/", "//a.b/"]
+    assert each(spark, urls.public_url("u"), bad) == [None] * len(bad)
+
+
+def test_shared_hosts(spark):
+    assert each(spark, urls.is_shared_host("u"), ["acme.github.io", "github.io", "github.com", "x.com", "xx.com", "10.0.0.1", "::1", "DOCS.google.com.", "", None]) == [True, True, False, True, False, True, True, True, False, False]
+    assert each(spark, urls.registrable_label("u"), ["acme.github.io", "www.acme.com", "10.0.0.1"]) == ["", "acme", ""]
 
 
 def test_hosts(spark):
@@ -37,6 +62,9 @@ def test_exact_identity(spark):
     names = lambda t: one(spark, identity.names_model("t", "m"), t=t, m="PV-42")
     assert [names(t) for t in ("PV-42 rated power 42 W", "XPV-42", "PV-42A", "PV-42/B", "pv 42 ok", "")] == [True, False, False, False, True, False]
     assert one(spark, identity.names_model("t", "m"), t="a", m="--") is False
+    cases = [("ＰＶ－42 ok", "PV-42", True), ("typ straße 5x", "STRASSE 5X", True), ("pv42", "PV-42", True), ("p v42", "PV-42", False), ("PV - 42.", "PV-42", True), ("PV-42.B", "PV-42", False), ("PV-42. B", "PV-42", True), ("a-PV-42", "PV-42", False), ("PV 42 / 7", "PV-42", True), (None, "x", False), ("x", None, False), ("PV-421 PV-42", "PV-42", True)]
+    df = spark.createDataFrame([(i, t, m) for i, (t, m, _) in enumerate(cases)], "i int, t string, m string").select("i", identity.names_model("t", "m").alias("r"))
+    assert {r.i: r.r for r in df.collect()} == {i: want for i, (_, _, want) in enumerate(cases)}
 
 
 def test_identity_keys(spark):
@@ -72,8 +100,11 @@ def test_scalars(spark):
     assert one(spark, scalars.one_line("t"), t=" a \n b ") == "a b"
     assert one(spark, scalars.clean_term("t"), t='a\x01"b"') == "a b"
     assert one(spark, scalars.table_cell("t"), t="<a>|\\") == "&lt;a&gt;\\|\\\\"
-    assert [one(spark, scalars.probability("t"), t=t) for t in ("0.5", "1", "1.1", "x", "-0", "")] == [0.5, 1.0, None, None, None, None]
+    assert [one(spark, scalars.probability("t"), t=t) for t in ("0.5", "1", "1.1", "x", "-0", "", "00.5", "01", "1.00")] == [0.5, 1.0, None, None, None, None, None, None, 1.0]
     assert one(spark, scalars.broad_category("t"), t=" PV  inverter") == "光伏逆变器"
     assert [one(spark, scalars.steps([30, 90, 180], "n"), n=n) for n in (0, 1, 2, 3, 99)] == [None, 30, 90, 180, 180]
     assert [one(spark, scalars.retry_after("t", 60.0), t=t) for t in ("5", "-1", "1e9", "NaN", "soon")] == [5.0, 0.0, 60.0, None, None]
     assert one(spark, scalars.close(F.lit(1.0), F.lit(1.0 + 1e-13))) is True
+    now = F.lit("1994-11-06 08:49:00").cast("timestamp")
+    assert each(spark, scalars.retry_after("u", 60.0, now), ["Sun, 06 Nov 1994 08:49:37 GMT", "Sun, 06 Nov 1994 08:00:00 GMT", "Mon, 07 Nov 1994 08:00:00 GMT", "06 Nov"]) == [37.0, 0.0, 60.0, None]
+    assert [str(x) for x in each(spark, scalars.operator_time("u"), ["2026-01-02T03:04:05Z", "2026-01-02T05:04:05+02:00", "2026-01-02T03:04:05", "soon", None])] == ["2026-01-02 03:04:05", "2026-01-02 03:04:05", "None", "None", "None"]

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from plumbline.functions import grounding as g
 from plumbline.functions import jsons, render
 
@@ -36,9 +38,22 @@ def test_strict_json():
     assert jsons.without_keys({"apiKey": 1, "b": [{"API-Key": 2, "c": 3}]}, frozenset({"api_key"})) == {"b": [{"c": 3}]}
 
 
-def test_managed_block():
-    one = render.merge_managed("my notes", "A")
-    assert render.merge_managed(one, "B") == one.replace("A", "B") and "my notes" in one
-    assert render.merge_managed(None, "A") == f"{render.START}\nA\n{render.END}\n"
-    assert render.merge_managed(render.END + render.START, "A") is None
-    assert render.merge_managed(render.START, "A") is None and render.merge_managed("", render.START) is None
+def test_snake():
+    assert [jsons.snake(k) for k in ("apiKey", "API-Key", "aB2C", "__x--Y", "", "é")] == ["api_key", "api_key", "a_b2_c", "x_y", "", ""]
+
+
+def merged(spark, pairs):
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, page string, block string")
+    rows = df.select("i", render.merge_managed(F.col("page"), F.col("block")).alias("r")).collect()
+    return [r.r for r in sorted(rows, key=lambda r: r.i)]
+
+
+def test_managed_block(spark):
+    a, b = (f"{render.START}\n{x}\n{render.END}" for x in "AB")
+    old = f"{render.OLD_START}\nx\n{render.OLD_END}"
+    assert merged(spark, [("my notes", "A"), ("my notes\n", "A"), ("my notes\n\n", "\nA\r\n"), (None, "A"), ("", "")]) == [
+        f"my notes\n\n{a}\n", f"my notes\n\n{a}\n", f"my notes\n\n{a}\n", f"{a}\n", f"{render.START}\n{render.END}\n"
+    ]
+    # every byte around the block stays, a block of earlier releases is replaced where it stands
+    assert merged(spark, [(f"  top\r\n{a}\n end ", "B"), (f"top {old} end", "B"), (f"top {old} end", f"\n{b}\n")]) == [f"  top\r\n{b}\n end ", f"top {b} end", f"top {b} end"]
+    assert merged(spark, [(render.END + render.START, "A"), (render.START, "A"), ("", render.START), (a + a, "B"), (a + old, "B"), ("x", f"y {a}")]) == [None] * 6
