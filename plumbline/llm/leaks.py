@@ -26,7 +26,8 @@ from plumbline.session import spread
 
 RUN = 13
 BLOCK = 32
-BLOCK_ITEMS = 20_000
+#: Characters of item texts in one broadcast index; its size is a small multiple of that.
+BLOCK_CHARS = 8_000_000
 K1, B = 1.2, 0.75
 _CONTROL = re.compile(r"[\x00-\x09\x0b-\x1f\x7f]")
 _WORD = re.compile(r"[^\W_]+")
@@ -179,18 +180,19 @@ def _search_udf(shared):
     return found
 
 
-def leaked_items(documents: DataFrame, items: DataFrame, run: int = RUN, block_items: int = BLOCK_ITEMS) -> DataFrame:
+def leaked_items(documents: DataFrame, items: DataFrame, run: int = RUN, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, item_id): the document and the item share a run of at least ``run`` consecutive words.
 
     Case, punctuation, spacing and line breaks do not count; characters that look the same are the
     same. Null and empty texts, and items shorter than a run, share nothing; repeated documents are
-    reported once per row, repeated items once. The index of at most ``block_items`` items is
-    broadcast at a time; a larger item table is worked through in blocks, each against all documents.
-    Documents are not shuffled.
+    reported once per row, repeated items once. The index of items with about ``block_chars``
+    characters is broadcast at a time; a larger item table is worked through in blocks, each against all
+    documents, so every block more is one more pass over them. Documents are not shuffled.
     """
     spark = documents.sparkSession
     table = items.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    blocks = max(1, -(-table.count() // block_items))
+    chars = table.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-chars // block_chars))
     docs = spread(documents.select("doc_id", "text"), "doc_id").where(F.col("text").isNotNull())
     result = None
     for b in range(blocks):

@@ -67,4 +67,25 @@ def p9_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_documents(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p2_canonical_names": p2_canonical_names, "p2_canonical_pages": p2_canonical_pages, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p6_found": p6_found, "p6_main_text": p6_main_text, "p7_containers": p7_containers, "p8_found": p8_found, "p9_pieces": p9_pieces}
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether every document is packed whole and once, in containers within the capacity."""
+    rows = packing.pack_documents(read_table(spark, sf_dir, "documents"))
+    per = rows.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("piece_no").alias("last"), F.countDistinct("piece_no").alias("pieces"), F.sum("n_tokens").alias("tokens"),
+        F.max(F.struct("piece_no", "token_start", "n_tokens")).alias("end"), F.max("container_tokens").alias("most"),
+    )
+    once = (F.col("n") == F.col("last") + 1) & (F.col("pieces") == F.col("n")) & (F.col("end.token_start") + F.col("end.n_tokens") == F.col("tokens"))
+    return per.select("doc_id", once.alias("once"), (F.col("most") <= packing.CAPACITY).alias("fits"))
+
+
+def p9_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hash of each text put together again from its pieces without their overlaps, and whether all pieces keep the limit."""
+    documents = read_table(spark, sf_dir, "documents").where("text is not null").select("doc_id", "text")
+    rows = splitting.split_documents(documents)
+    core = F.struct("piece_no", F.expr("substring(piece, core_start - char_start + 1)").alias("s"))
+    built = rows.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(core)), lambda x: x["s"]), "").alias("built"), F.max("n_tokens").alias("most"))
+    fits = F.coalesce(F.col("most") <= splitting.LIMIT, F.lit(True))
+    return documents.join(built, "doc_id", "left").select("doc_id", F.md5(F.coalesce("built", "text")).alias("text_md5"), fits.alias("fits"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_classes": p2_classes, "p2_canonical_names": p2_canonical_names, "p2_canonical_pages": p2_canonical_pages, "p3_found": p3_found, "p3_unmatched_values": p3_unmatched_values, "p6_found": p6_found, "p6_main_text": p6_main_text, "p7_containers": p7_containers, "p7_packed": p7_packed, "p8_found": p8_found, "p9_pieces": p9_pieces, "p9_rebuilt": p9_rebuilt}

@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm import tokens
-from plumbline.session import spread
+from plumbline.session import cut, spread
 
 CAPACITY = 2048
 OPEN_BINS = 512
+#: Tokens that one task packs: many times what the open bins hold, so that few bins are left open at its end.
+TASK_TOKENS = 64_000_000
 
 PACKED = "container_id bigint, slot int, doc_id bigint, piece_no int, token_start bigint, n_tokens int, container_tokens int"
 
@@ -90,12 +92,12 @@ def pack_partition(batches: Iterator[pd.DataFrame], capacity: int, open_bins: in
     yield pd.DataFrame(rows(bins.rest()), columns=names)
 
 
-def token_sizes(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def token_sizes(documents: DataFrame, tokenizer: str | None = None, pattern: str | None = None) -> DataFrame:
     """doc_id, n_tokens of every document with a non-null text."""
 
     @F.pandas_udf("int")
     def size(text: pd.Series) -> pd.Series:
-        count = tokens.counter(tokenizer).count
+        count = tokens.counter(tokenizer, pattern).count
         return pd.Series([count(t) for t in text], dtype="int32")
 
     # not deterministic in the planner's sense only: it must not repeat the count to filter by it
@@ -103,21 +105,24 @@ def token_sizes(documents: DataFrame, tokenizer: str | None = None) -> DataFrame
     return spread(documents.select("doc_id", "text"), "doc_id").where(F.col("text").isNotNull()).select("doc_id", once("text").alias("n_tokens"))
 
 
-def pack_documents(documents: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, tokenizer: str | None = None) -> DataFrame:
+def pack_documents(documents: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, tokenizer: str | None = None, pattern: str | None = None, parts: int | None = None) -> DataFrame:
     """One row per item in its container: container_id, slot, doc_id, piece_no, token_start, n_tokens, container_tokens.
 
     A document is one item; only one longer than ``capacity`` is cut, into full pieces and a remainder
     (piece_no counts from 0; ``token_start`` is the piece's place in the document's tokens). Null texts
     and texts without a token hold nothing to pack and have no row. Repeated rows are packed each.
     Only ids and sizes are shuffled; items are hashed by id and ordered by hash within a task, so a task
-    that runs again packs the same containers. At the end of a task at most ``open_bins`` containers
+    that runs again packs the same containers. ``parts`` is the number of tasks that pack, by default
+    one for every TASK_TOKENS tokens. At the end of a task at most ``open_bins`` containers
     are less full than they could be.
     """
-    sizes = token_sizes(documents, tokenizer).where("n_tokens > 0")
+    sizes = cut(token_sizes(documents, tokenizer, pattern).where("n_tokens > 0"))
     pieces = F.expr(f"transform(sequence(0, cast((n_tokens - 1) div {capacity} as int)), i -> struct(i as piece_no, cast(i as bigint) * {capacity} as token_start, cast(least({capacity}, n_tokens - i * {capacity}) as int) as n_tokens))")
     items = sizes.select("doc_id", F.explode(pieces).alias("p")).select("doc_id", "p.*")
     spread = F.xxhash64("doc_id", "piece_no", "n_tokens")
-    ordered = items.withColumn("_h", spread).repartition("_h").sortWithinPartitions("_h", "doc_id", "piece_no", "n_tokens").drop("_h")
+    # a number of parts that the tokens give and adaptive execution leaves alone: the containers depend on nothing else
+    parts = parts or max(1, -(-(sizes.agg(F.sum("n_tokens")).first()[0] or 0) // TASK_TOKENS))
+    ordered = items.withColumn("_h", spread).repartition(parts, "_h").sortWithinPartitions("_h", "doc_id", "piece_no", "n_tokens").drop("_h")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pack_partition(batches, capacity, open_bins)

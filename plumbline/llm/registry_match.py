@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plumbline.llm import lookalikes as la
 from plumbline.operators.skew import join_hot
 
-# Words around a name that are no part of it (legal forms, places, trade words).
+# Default of a parameter: words around a name that are no part of it (legal forms, places, trade words).
 AFFIX_WORDS = (
     "gmbh kg co ohg ag ltd limited inc llc corp corporation plc srl spa sas sarl sa sl bv nv oy ab kgaa "
     "group gruppe gruppo holding solar power systems system energy new technology technologies deutschland italia espana france international "
@@ -38,30 +38,36 @@ def _translate_pairs() -> tuple[str, str]:
     return "".join(source + drop), "".join(target)
 
 
-def registry_keys(registry: DataFrame) -> DataFrame:
+#: Trade words that are also written together with a name.
+GLUED_WORDS = ("solar",)
+#: Digits that are typed for letters.
+DIGITS_AS_LETTERS = ("0135", "oles")
+
+
+def registry_keys(registry: DataFrame, affixes: str = AFFIX_WORDS) -> DataFrame:
     """key, brand_code, k (edits it tolerates): codes, names and aliases of the registry, folded.
 
     Names count with and without their affix words. Keys of up to 3 letters tolerate no edit, up to 5 one,
-    longer ones two. A key that stands for two
+    longer ones two, in any script. A key that stands for two
     entries is kept for both and then matches neither (see ``match_values``).
     """
     src, dst = _translate_pairs()
     return registry.sparkSession.sql(
         """
         select distinct brand_code, key,
-               case when length(key) <= 3 or not key rlike '[a-z]' then 0 when length(key) <= 5 then 1 else 2 end as k
+               case when length(key) <= 3 then 0 when length(key) <= 5 then 1 else 2 end as k
         from (
           select brand_code, explode(array(regexp_replace(t, '[^\\\\pL\\\\pN]', ''),
                    array_join(filter(split(t, '[^\\\\pL\\\\pN]+'), w -> w <> '' and not array_contains(split(:words, ' '), w)), ''))) as key
           from (select brand_code, lower(translate(name, :src, :dst)) as t
                 from (select brand_code, explode(concat(array(brand_code, manufacturer), coalesce(alias_list, array()))) as name from {registry})))
         where key <> ''""",
-        args={"src": src, "dst": dst, "words": AFFIX_WORDS},
+        args={"src": src, "dst": dst, "words": affixes},
         registry=registry,
     )
 
 
-def value_keys(values: DataFrame) -> DataFrame:
+def value_keys(values: DataFrame, affixes: str = AFFIX_WORDS, glued: tuple[str, ...] = GLUED_WORDS, digits: tuple[str, str] = DIGITS_AS_LETTERS) -> DataFrame:
     """value, key, rank: the candidate keys of each distinct value, best first.
 
     1 the whole value, 2 its parts between brackets and slashes, 3 the same without affix words, 4
@@ -69,7 +75,8 @@ def value_keys(values: DataFrame) -> DataFrame:
     inside a name do not count.
     """
     src, dst = _translate_pairs()
-    words = ", ".join(f"'{w}'" for w in AFFIX_WORDS.split())
+    words = ", ".join(f"'{w}'" for w in affixes.split())
+    ends = "|".join(f"^{w}|{w}$" for w in glued) or "^$"
     return values.sparkSession.sql(
         f"""
         with folded as (
@@ -86,31 +93,31 @@ def value_keys(values: DataFrame) -> DataFrame:
         glued as (
           select value, rank, key from compact
           union all
-          select value, 3, regexp_replace(key, '^solar|solar$', '') from compact where key rlike '^solar|solar$'),
+          select value, 3, regexp_replace(key, '{ends}', '') from compact where key rlike '{ends}'),
         letters as (
           select value, rank, key from glued
           union all
-          select value, 4, translate(key, '0135', 'oles') from glued where key rlike '[a-z]' and key rlike '[0135]')
+          select value, 4, translate(key, '{digits[0]}', '{digits[1]}') from glued where key rlike '[a-z]' and key rlike '[{digits[0]}]')
         select value, key, min(rank) as rank from letters where key <> '' group by value, key""",
         args={"src": src, "dst": dst},
         values=values,
     )
 
 
-def match_values(values: DataFrame, registry: DataFrame, n_col: str = "n") -> DataFrame:
+def match_values(values: DataFrame, registry: DataFrame, n_col: str = "n", affixes: str = AFFIX_WORDS, glued: tuple[str, ...] = GLUED_WORDS, digits: tuple[str, str] = DIGITS_AS_LETTERS) -> DataFrame:
     """value, n, brand_code, distance: one row per distinct value; brand_code '-' if it belongs to no entry.
 
     ``values`` holds distinct non-null values with their number of rows. Exact keys outrank fuzzy ones;
     among exact ones the better rank counts. Among fuzzy ones the smaller distance counts, then the
     better rank. A value equally close to two entries belongs to neither. Very long values take part
-    like any other; a value longer than every reference key plus its edits has no fuzzy candidate.
+    like any other; ``affixes``, ``glued`` and ``digits`` say what is written around and for a name; a value longer than every reference key plus its edits has no fuzzy candidate.
     """
     from plumbline.session import cut
 
     spark = values.sparkSession
     # both are read several times below
-    keys = cut(registry_keys(registry))
-    mine = cut(value_keys(values))
+    keys = cut(registry_keys(registry, affixes))
+    mine = cut(value_keys(values, affixes, glued, digits))
     return spark.sql(
         """
         with exact as (

@@ -20,6 +20,8 @@ from plumbline.session import spread
 
 LIMIT = 512
 OVERLAP = 64
+#: A run without white space of so many tokens stays whole, or of a 16th of what a piece may hold if that is less.
+WHOLE = 8
 
 #: Strongest first; a cut is made at the end of a match.
 BOUNDARIES = [
@@ -36,15 +38,15 @@ PIECE = "array<struct<piece_no:int,char_start:int,char_end:int,core_start:int,n_
 class Text:
     """A text with its cuttable positions: characters (off) and tokens (cum) before each."""
 
-    def __init__(self, text: str, counter: tokens.Counter):
+    def __init__(self, text: str, counter: tokens.Counter, whole: int = WHOLE):
         self.text, self.counter = text, counter
         chunks = tokens.CHUNK.findall(text)
         counts = counter.counts(chunks)
         lengths = list(map(len, chunks))
-        if max(counts, default=0) > 8:  # long runs without white space are taken apart
+        if max(counts, default=0) > whole:  # long runs without white space are taken apart
             lengths, counts, chunks_in = [], [], zip(chunks, counts, strict=True)
             for chunk, n in chunks_in:
-                parts = counter.atoms(chunk) if n > 8 else [(len(chunk), n)]
+                parts = counter.atoms(chunk) if n > whole else [(len(chunk), n)]
                 lengths += [p[0] for p in parts]
                 counts += [p[1] for p in parts]
         self.off = [0, *accumulate(lengths)]
@@ -108,7 +110,7 @@ def split_text(text: str | None, limit: int, overlap: int, counter: tokens.Count
         return None
     if len(text) <= limit and len(text.encode("utf-8", "replace")) <= limit:
         return None
-    t = Text(text, counter)
+    t = Text(text, counter, min(WHOLE, max(1, (limit - overlap) // 16)))
     if t.cum[-1] <= limit:
         return None
     out = []
@@ -118,7 +120,7 @@ def split_text(text: str | None, limit: int, overlap: int, counter: tokens.Count
     return out
 
 
-def split_documents(documents: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, tokenizer: str | None = None) -> DataFrame:
+def split_documents(documents: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, tokenizer: str | None = None, pattern: str | None = None) -> DataFrame:
     """One row per piece of each document longer than ``limit`` tokens.
 
     Columns: doc_id, piece_no (from 0), char_start, char_end (end excluded), core_start (where the piece
@@ -132,7 +134,7 @@ def split_documents(documents: DataFrame, limit: int = LIMIT, overlap: int = OVE
 
     @F.pandas_udf(PIECE)
     def pieces(text: pd.Series) -> pd.Series:
-        counter = tokens.counter(tokenizer)
+        counter = tokens.counter(tokenizer, pattern)
         return pd.Series([split_text(t, limit, overlap, counter) for t in text], dtype=object)
 
     return spread(documents.select("doc_id", "text"), "doc_id").where(F.col("text").isNotNull()).select("doc_id", F.explode(pieces("text")).alias("p")).select("doc_id", "p.*")

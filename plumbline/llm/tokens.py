@@ -33,13 +33,15 @@ def tokenizer_path(path: str | None = None) -> str:
 class Counter(dict):
     """chunk -> number of tokens, filled as needed; made once per worker and vocabulary file."""
 
-    def __init__(self, path: str):
-        import public_tokenizers
+    def __init__(self, path: str, pattern: str | None = None):
         import tiktoken
 
+        if pattern is None:
+            from public_tokenizers import PATTERN as pattern
+
         super().__init__()
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in Path(path).read_bytes().splitlines() if line)}
-        self.encoding = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.encoding = tiktoken.Encoding("public", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def __missing__(self, chunk: str) -> int:
         n = len(self.encoding.encode_ordinary(chunk))
@@ -69,9 +71,13 @@ class Counter(dict):
         return out
 
 
-def counter(path: str | None = None) -> Counter:
+def counter(path: str | None = None, pattern: str | None = None) -> Counter:
+    """The worker's counter of a vocabulary file and its split pattern, by default that of the installed tokenizers.
+
+    A pattern must keep apart what stands on both sides of white space, but for one leading space.
+    """
     kept = sys.modules.setdefault("_plumbline_cache", types.ModuleType("_plumbline_cache")).__dict__
     path = tokenizer_path(path)
-    if ("tokens", path) not in kept:
-        kept["tokens", path] = Counter(path)
-    return kept["tokens", path]
+    if ("tokens", path, pattern) not in kept:
+        kept["tokens", path, pattern] = Counter(path, pattern)
+    return kept["tokens", path, pattern]

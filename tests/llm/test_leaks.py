@@ -41,7 +41,7 @@ def test_equals_brute_force(spark):
         docs.append((d, " ".join(parts)))
     want = brute(docs, items)
     assert want and found(spark, docs, items) == want
-    assert found(spark, docs, items, block_items=7) == want
+    assert found(spark, docs, items, block_chars=400) == want
 
 
 def test_look_case_and_line_breaks_do_not_count(spark):

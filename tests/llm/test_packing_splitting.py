@@ -109,3 +109,20 @@ def test_split_documents(spark):
         assert "".join(text[r.core_start : r.char_end] for r in rows) == text
     with pytest.raises(ValueError):
         splitting.split_documents(df, 64, 64)
+
+
+def test_containers_do_not_depend_on_adaptive_execution(spark):
+    df = spark.createDataFrame([(i, "word " * (i % 400 + 1)) for i in range(300)], "doc_id bigint, text string")
+    rows = lambda: sorted(tuple(r) for r in packing.pack_documents(df, parts=3).collect())
+    first = rows()
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    assert rows() == first and len({r[0] >> 36 for r in first}) == 3
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_limits_below_the_size_of_a_run(spark):
+    df = spark.createDataFrame([(1, "0123456789" * 12 + " a b")], "doc_id bigint, text string")
+    rows = splitting.split_documents(df, limit=6, overlap=0).orderBy("piece_no").collect()
+    assert all(r.n_tokens <= 6 for r in rows) and "".join(r.piece for r in rows) == "0123456789" * 12 + " a b"

@@ -69,3 +69,18 @@ def test_records(spark):
     m = "decision_json.manufacturer"
     assert got == [(m, "A", "SLVN"), (m, "B", "SLVN"), (m, "G", "-"), ("products.brand_code", "5", "HLVR"), ("products.brand_code", "6", "-"), ("products.brand_code", "7", "HLVR")]
     assert rm.matched_records(products.limit(0), completions.limit(0), spark.createDataFrame(REGISTRY, SCHEMA)).count() == 0
+
+
+def test_long_names_and_other_scripts_tolerate_edits(spark):
+    long = "".join(chr(97 + (i * 7) % 26) for i in range(100))
+    registry = spark.createDataFrame([("LONG", long, ["辰曦澜光新能"]), ("HAN4", "Other", ["光禅新材"]), ("KYR", "Заря Юга", None)], SCHEMA)
+    typed = {long[:20] + "x" + long[20:70] + long[71:]: "LONG", "辰曦澜光新材": "LONG", "光禅新村": "HAN4", "Заря Юго": "KYR", "光村新": "-"}
+    df = spark.createDataFrame([(v, 1) for v in typed], "value string, n long")
+    assert {r.value: r.brand_code for r in rm.match_values(df, registry).collect()} == typed
+
+
+def test_words_around_a_name_are_a_parameter(spark):
+    df = spark.createDataFrame([("Heliovar Oyj", 1), ("heliovarwind", 1)], "value string, n long")
+    registry = spark.createDataFrame(REGISTRY, SCHEMA)
+    assert {r.brand_code for r in rm.match_values(df, registry).collect()} == {"-"}
+    assert {r.brand_code for r in rm.match_values(df, registry, affixes="oyj", glued=("wind",)).collect()} == {"HLVR"}

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="test tables are
 @pytest.mark.parametrize("name", sorted(llm_queries.ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("products", "web_fetch_exa", "documents", "eval_items"):
+    for t in ("products", "web_fetch_exa", "documents", "eval_items", "brand_registry", "product_research_completions"):
         con.sql(f"create view {t} as select * from '{DATA}/{t}.parquet'")
     df = llm_queries.QUERIES[name](spark, DATA)
     q = con.execute(llm_queries.ORACLES[name])
