@@ -81,11 +81,12 @@ def merge_by_url(df: DataFrame, key: Column, keep: list[str], best: list[Column]
 def table_digest(df: DataFrame, columns: list[str]) -> DataFrame:
     """(n_rows, digest): the same for the same bag of rows in any order and partitioning; one combining aggregate.
 
-    Each row is hashed over its values with their lengths, so neighbouring fields cannot run together.
+    Each row is hashed over its values with their lengths, so neighbouring fields cannot run together;
+    60 bits of each hash are summed in 128 bits. The digest is text.
     """
     text = F.concat(*[F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in columns])
-    part = F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("bigint")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(part), F.lit(0)).alias("digest"))
+    part = F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(20,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(part), F.lit(0)).cast("string").alias("digest"))
 
 
 def catalogue_checksum(df: DataFrame, key: str, value: str, prefix: int = 4) -> DataFrame:

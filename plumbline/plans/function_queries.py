@@ -94,7 +94,10 @@ def _(s, d):
     return read_table(s, d, "fact_item").select("fact_id", scalars.table_cell("name").alias("cell"))
 
 
-@query("str09_categories", "select distinct category, trim(category) as broad from fact_item where category is not null")
+_BROAD = "case lower(trim(category)) " + " ".join(f"when '{a}' then '{b}'" for a, b in scalars.CATEGORY_ALIASES.items()) + " else trim(category) end"
+
+
+@query("str09_categories", f"select distinct category, {_BROAD} as broad from fact_item where category is not null")
 def _(s, d):
     return read_table(s, d, "fact_item").where("category is not null").select("category").distinct().select("category", scalars.broad_category("category").alias("broad"))
 
@@ -202,10 +205,15 @@ def _(s, d):
 
 @query("txt01_named_models")
 def _(s, d):
-    """Documents that name exactly a model of the product they belong to."""
+    """Documents that name exactly a model of the product they belong to. Products with many documents are broadcast."""
+    from plumbline.operators.skew import join_hot
+
     p = read_table(s, d, "products").where("product_id is not null").select("product_id", F.explode(identity.model_fragments("product_name")).alias("model")).distinct()
     docs = read_table(s, d, "documents").where("text is not null and product_id is not null").select("doc_id", "product_id", "text")
-    return docs.join(p, "product_id").where(identity.names_model("text", "model")).select("doc_id", "model").distinct()
+    weights = docs.groupBy("product_id").agg(F.count(F.lit(1)).alias("_weight"))
+    models = p.groupBy("product_id").agg(F.collect_list("model").alias("_models")).join(weights, "product_id")
+    each = join_hot(docs, models, "product_id", "_weight").select("doc_id", "text", F.explode("_models").alias("model"))
+    return each.where(identity.names_model("text", "model")).select("doc_id", "model").distinct()
 
 
 @query("txt02_model_fragments", "select row_id, array_to_string(list_sort(list_distinct(list_transform(list_filter(regexp_extract_all(product_name, '[A-Za-z0-9]+(?:-[A-Za-z0-9]+)+'), lambda x: regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]') and length(x) >= 5), lambda x: upper(x)))), ',') as models from products where product_name is not null")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import grounding, identity, jsons, render, scalars, urls
+from plumbline.operators.skew import join_hot
 from plumbline.plans.relational_queries import completions, documents, events, facts, lineitem, orders, pages, products, registry, snapshots
 
 QUERIES = {}
@@ -34,30 +35,6 @@ def _(s, d):
     return products(s, d).where("product_name is not null").join(r, "brand_code", "left").select("row_id", "product_name", "manufacturer", "web_domain")
 
 
-@query("prj06_categories", "select product_id, coalesce(min(c), min(f)) as category from (select product_id, decision_json->>'$.product_category' as c, decision_json->>'$.facts[0].category' as f from product_research_completions where json_valid(decision_json) and json_type(decision_json) = 'OBJECT' and product_id is not null) group by product_id")
-def _(s, d):
-    v = F.try_parse_json("decision_json")
-    # a text that holds JSON text is no object here, and a lone fact has no position
-    first = F.try_variant_get(v, "$.facts[0].category", "string")
-    ok = F.coalesce(F.expr("schema_of_variant(try_parse_json(decision_json)) like 'OBJECT%'"), F.lit(False))
-    rows = completions(s, d).where(ok & F.col("product_id").isNotNull()).select("product_id", F.try_variant_get(v, "$.product_category", "string").alias("c"), first.alias("f"))
-    return rows.groupBy("product_id").agg(F.coalesce(F.min("c"), F.min("f")).alias("category"))
-
-
-@query("prj06_named_categories")
-def _(s, d):
-    """The category of each product: its decision's, else the first non-blank value of a fact with a category's name at any position."""
-    names = ("product category", "product type", "产品类别", "产品类型")
-    ok = F.coalesce(F.expr("schema_of_variant(v) like 'OBJECT%'"), F.lit(False))
-    text = "case when schema_of_variant(variant_get({0}, '$.{1}')) = 'STRING' then try_variant_get({0}, '$.{1}', 'string') end"
-    pairs = F.expr("transform(try_variant_get(v, '$.facts', 'array<variant>'), x -> struct(try_variant_get(x, '$.name', 'string') as n, " + text.format("x", "value") + " as value))")
-    named = F.filter(pairs, lambda x: F.lower(F.regexp_replace(x["n"], r"^\s+|\s+$", "")).isin(*names) & x["value"].rlike(r"\S"))
-    category = F.expr(text.format("v", "product_category"))
-    rows = completions(s, d).withColumn("v", F.try_parse_json("decision_json")).where(ok & F.col("product_id").isNotNull())
-    rows = rows.select("product_id", F.when(category.rlike(r"\S"), category).alias("c"), F.get(named, F.lit(0))["value"].alias("f"))
-    return rows.groupBy("product_id").agg(F.coalesce(F.min("c"), F.min("f")).alias("category"))
-
-
 @query("prj07_trusted_policy", "select brand_code, lower(web_domain) as domain, array_to_string(list_sort(alias_list), ',') as aliases from brand_registry where web_domain is not null")
 def _(s, d):
     return registry(s, d).where("web_domain is not null").select("brand_code", F.lower("web_domain").alias("domain"), F.array_join(F.array_sort("alias_list"), ",").alias("aliases"))
@@ -112,9 +89,9 @@ def _(s, d):
     return o.where((F.col("o_orderstatus") == "O") & (F.col("o_orderdate") <= F.lit("1997-01-01").cast(o.schema["o_orderdate"].dataType))).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("agg13_usage_cost", "select l_orderkey, round(sum(l_extendedprice * l_discount), 4) as cost, sum(l_quantity) as credits from lineitem group by l_orderkey")
+@query("agg13_usage_cost", "select l_orderkey, round(sum(l_extendedprice * l_discount), 9) as cost, sum(l_quantity) as credits from lineitem group by l_orderkey")
 def _(s, d):
-    return lineitem(s, d).groupBy("l_orderkey").agg(F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 4).alias("cost"), F.sum("l_quantity").alias("credits"))
+    return lineitem(s, d).groupBy("l_orderkey").agg(F.round(F.sum(F.col("l_extendedprice") * F.col("l_discount")), 9).alias("cost"), F.sum("l_quantity").alias("credits"))
 
 
 @query("agg15_sync_summary", "with k as (select product_id, min(generation) as first_g, count(distinct payload_json) as versions from product_catalogue_snapshot where product_id is not null group by product_id) select count(*) filter (where first_g > 1) as created, count(*) filter (where versions > 1) as rewritten, count(*) as total from k")
@@ -155,16 +132,8 @@ def _(s, d):
     return pages(s, d).groupBy("url").agg(F.min("fetch_id").alias("first_seen")).orderBy("first_seen").limit(15)
 
 
-@query("top08_sorted_specs", "select product_id, string_agg(n, '|' order by lower(c) nulls first, c nulls first, lower(n), n) as names from (select distinct product_id, category as c, name as n from fact_item where product_id is not null and name is not null and confidence > 0.95) group by product_id")
+@query("top08_sorted_specs", "select product_id, string_agg(n, '|' order by lower(c) nulls first, c nulls first, lower(n), n) as names from (select distinct product_id, category as c, name as n from fact_item where product_id is not null and name is not null) group by product_id")
 def _(s, d):
-    rows = facts(s, d).where("product_id is not null and name is not null and confidence > 0.95").select("product_id", "category", "name").distinct()
-    key = F.struct(F.lower("category").alias("lc"), F.col("category").alias("c"), F.lower("name").alias("ln"), F.col("name").alias("n"))
-    return rows.groupBy("product_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x["n"]), "|").alias("names"))
-
-
-@query("top08_all_specs", "select product_id, string_agg(n, '|' order by lower(c) nulls first, c nulls first, lower(n), n) as names from (select distinct product_id, category as c, name as n from fact_item where product_id is not null and name is not null) group by product_id")
-def _(s, d):
-    """The order of top08_sorted_specs over all facts, whatever their confidence."""
     rows = facts(s, d).where("product_id is not null and name is not null").select("product_id", "category", "name").distinct()
     key = F.struct(F.lower("category").alias("lc"), F.col("category").alias("c"), F.lower("name").alias("ln"), F.col("name").alias("n"))
     return rows.groupBy("product_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(key)), lambda x: x["n"]), "|").alias("names"))
@@ -243,10 +212,14 @@ def _(s, d):
 
 @query("txt13_relevance", "with f as (select product_id, unnest(regexp_extract_all(upper(product_name), '[A-Z0-9]+(?:-[A-Z0-9]+)+')) as m from products where product_id is not null), g as (select distinct product_id, regexp_replace(m, '[^A-Z0-9]', '', 'g') as k from f where regexp_matches(m, '[A-Z]') and regexp_matches(m, '[0-9]') and length(m) >= 5) select d.doc_id, max(length(k)) as relevance from documents d join g on d.product_id = g.product_id where contains(regexp_replace(upper(d.text), '[^A-Z0-9]', '', 'g'), k) group by d.doc_id")
 def _(s, d):
+    """The longest model key of its product that a document holds. Products with many documents are broadcast, texts of others are hashed."""
     key = lambda c: F.regexp_replace(F.upper(c), "[^A-Z0-9]", "")
-    g = products(s, d).where("product_id is not null").select("product_id", F.explode(identity.model_fragments("product_name")).alias("m")).select("product_id", key(F.col("m")).alias("k")).distinct()
+    keys = products(s, d).where("product_id is not null").select("product_id", F.explode(identity.model_fragments("product_name")).alias("m")).select("product_id", key(F.col("m")).alias("k")).distinct()
+    per = keys.groupBy("product_id").agg(F.collect_list("k").alias("_keys"))
     docs = documents(s, d).where("text is not null and product_id is not null").select("doc_id", "product_id", key(F.col("text")).alias("t"))
-    return docs.join(g, "product_id").where(F.contains("t", "k")).groupBy("doc_id").agg(F.max(F.length("k")).alias("relevance"))
+    weights = documents(s, d).where("product_id is not null").groupBy("product_id").agg(F.count(F.lit(1)).alias("_weight"))
+    hits = join_hot(docs, per.join(weights, "product_id"), "product_id", "_weight").select("doc_id", F.explode(F.filter("_keys", lambda k: F.contains("t", k))).alias("k"))
+    return hits.groupBy("doc_id").agg(F.max(F.length("k")).alias("relevance"))
 
 
 @query("txt05_quote_spans")
@@ -254,18 +227,19 @@ def _(s, d):
     """Where quotes of facts stand in the pages of their url: span of the first page that grounds them."""
     from plumbline.operators.nested import flat_table
 
-    quotes = flat_table(completions(s, d), "quote").where("url is not null and quote is not null").select("product_id", "parent_pos", "child_pos", "url", "quote")
-    body = pages(s, d).where("content is not null").select("url", "content").distinct()
-    spans = quotes.join(body, "url").withColumn("_s", grounding.quote_span_udf()("quote", "content")).where("_s.start is not null")
+    from plumbline.plans.decision_queries import grounded
+
+    quotes = flat_table(completions(s, d), "quote").where("url is not null and quote is not null")
+    spans = grounded(quotes, pages(s, d), ["product_id", "parent_pos", "child_pos", "url", "quote"]).withColumn("_s", grounding.quote_span_udf()("quote", "content")).where("_s.start is not null")
     first = F.min(F.struct("_s.start", "_s.stop"))
     return spans.groupBy("product_id", "parent_pos", "child_pos").agg(first["start"].alias("start"), first["stop"].alias("stop"))
 
 
 @query("txt06_stated_values")
 def _(s, d):
-    """Facts whose quote states their value."""
+    """Facts whose quote states their value with their unit."""
     rows = facts(s, d).where("quote is not null and value is not null")
-    return rows.where(grounding.states_value_udf()("quote", "value", F.lit(None).cast("string"))).select("fact_id")
+    return rows.where(grounding.states_value_udf()("quote", "value", F.col("unit"))).select("fact_id")
 
 
 @query("rnd05_home_counts", "select 'brand' as facet, brand_code as label, count(*) as n from products where trim(brand_code) <> '' group by brand_code union all select 'family', family_code, count(*) from products where trim(family_code) <> '' group by family_code")
@@ -275,13 +249,6 @@ def _(s, d):
     return facet("brand_code", "brand").unionByName(facet("family_code", "family"))
 
 
-@query("rnd07_managed_pages")
-def _(s, d):
-    """Pages of completed products: the product line as managed block, what people wrote kept around it."""
-    rows = completions(s, d).where("product_id is not null").groupBy("product_id").agg(F.max("outcome").alias("outcome"), F.max("wiki_path").alias("wiki_path"))
-    return rows.select("product_id", render.merge_managed(F.col("wiki_path"), F.concat_ws(": ", "product_id", "outcome")).alias("page"))
-
-
 @query("set_constraint_violations", "select 'published_but_not_publishable' as rule, count(*) as n from product_research_completions where published_at is not null and publishable <> 1 union all select 'bad_source_hash', count(*) from product_research_completions where source_hash is null or not regexp_full_match(source_hash, '[0-9a-f]{64}') union all select 'path_without_action', count(*) from product_research_completions where wiki_path is not null and wiki_action is null")
 def _(s, d):
     c = completions(s, d)

@@ -35,7 +35,8 @@ def _t(name):
 
 products, snapshots, completions, pages, facts, registry = map(_t, ("products", "product_catalogue_snapshot", "product_research_completions", "web_fetch_exa", "fact_item", "brand_registry"))
 orders, lineitem, events, documents = map(_t, ("orders", "lineitem", "events", "documents"))
-CATALOGUE = ["product_id", "brand_code", "family_code", "product_name", "unit_of_measure", "created_at", "updated_at"]
+CATALOGUE_ORDER = ["product_id", "brand_code", "family_code", "product_name", "unit_of_measure", "created_at", "updated_at"]
+CATALOGUE = CATALOGUE_ORDER
 
 # ---- scans, sources, sinks
 
@@ -82,12 +83,14 @@ def _(s, d):
     return out
 
 
-_ROW_TEXT = " || ".join(f"coalesce(length({c})::varchar || ':' || {c}, '-')" for c in ("product_id", "brand_code", "product_name"))
+_ROW_TEXT = " || ".join(f"coalesce(length({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in ("row_id", "product_id", "brand_code", "family_code", "product_name", "unit_of_measure", "epoch_us(created_at)", "epoch_us(updated_at)"))
 
 
-@query("src11_table_digest", f"select count(*) as n_rows, sum(('0x' || substr(sha256({_ROW_TEXT}), 1, 8))::bigint)::bigint as digest from products")
+@query("src11_table_digest", f"select count(*) as n_rows, sum(('0x' || substr(sha256({_ROW_TEXT}), 1, 15))::bigint)::varchar as digest from products")
 def _(s, d):
-    return rel.table_digest(products(s, d), ["product_id", "brand_code", "product_name"])
+    """Count and digest of all columns, the same for the same bag of rows: two copies of a table are compared by it."""
+    micros = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("created_at", "updated_at")}
+    return rel.table_digest(products(s, d).withColumns(micros), ["row_id", *CATALOGUE_ORDER])
 
 
 @query("snk02_insert_once", "select product_id, min(row_id) as row_id from products where product_id is not null and product_id not in (select product_id from product_research_completions where product_id is not null) group by product_id")
@@ -185,10 +188,11 @@ def _(s, d):
     return rel.next_unfinished(products(s, d), completions(s, d), "product_id", "P-0000100")
 
 
-@query("jn02_backfill", "select p.product_id, c.wiki_path from (select distinct product_id from products where product_id is not null) p left join (select product_id, max(wiki_path) as wiki_path from product_research_completions where wiki_action is not null group by product_id) c using (product_id) where not exists (select 1 from product_catalogue_snapshot s where s.product_id = p.product_id and s.generation = 1)")
+@query("jn02_backfill", "select p.product_id, c.wiki_path from (select distinct product_id from products where product_id is not null) p left join (select product_id, wiki_path from (select *, row_number() over (partition by product_id order by completed_at desc nulls last, wiki_path desc nulls last) as rn from product_research_completions where wiki_action is not null) where rn = 1) c using (product_id) where not exists (select 1 from product_catalogue_snapshot s where s.product_id = p.product_id)")
 def _(s, d):
-    latest = completions(s, d).where("wiki_action is not null").groupBy("product_id").agg(F.max("wiki_path").alias("wiki_path"))
-    known = snapshots(s, d).where("generation = 1").select("product_id")
+    """Products that no snapshot has, with the page of their latest completed publication if there is one."""
+    latest = rel.latest_per_key(completions(s, d).where("wiki_action is not null and product_id is not null"), ["product_id"], ["completed_at", "wiki_path"], ["product_id", "wiki_path"])
+    known = snapshots(s, d).select("product_id")
     return products(s, d).select("product_id").where("product_id is not null").distinct().join(latest, "product_id", "left").join(known, "product_id", "left_anti")
 
 
@@ -197,10 +201,14 @@ def _(s, d):
     return rel.latest_per_key(orders(s, d).where("o_orderstatus = 'F'"), ["o_custkey"], ["o_orderkey"], ["o_custkey", "o_orderkey", "o_totalprice"])
 
 
-@query("jn04_requeue", "select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as rn from orders) where rn = 1 and o_orderstatus = 'O' order by o_orderkey limit 50")
+@query("jn04_requeue", "select o_custkey, o_orderkey from (select *, row_number() over (partition by o_custkey order by o_orderkey desc) as rn from orders where o_orderstatus <> 'P') where rn = 1 and o_orderstatus = 'O' and o_orderdate >= timestamp '1995-06-01' and o_orderdate < timestamp '1998-01-01' order by o_orderdate, o_orderkey limit 50")
 def _(s, d):
-    last = rel.latest_per_key(orders(s, d), ["o_custkey"], ["o_orderkey"], ["o_custkey", "o_orderkey", "o_orderstatus"])
-    return last.where("o_orderstatus = 'O'").orderBy("o_orderkey").limit(50).select("o_custkey", "o_orderkey")
+    """Products whose latest attempt that the system did not end has the asked outcome and lies in the window, oldest first."""
+    o = orders(s, d)
+    t = o.schema["o_orderdate"].dataType
+    last = rel.latest_per_key(o.where("o_orderstatus <> 'P'"), ["o_custkey"], ["o_orderkey"], ["o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate"])
+    due = last.where((F.col("o_orderstatus") == "O") & (F.col("o_orderdate") >= F.lit("1995-06-01").cast(t)) & (F.col("o_orderdate") < F.lit("1998-01-01").cast(t)))
+    return due.orderBy("o_orderdate", "o_orderkey").limit(50).select("o_custkey", "o_orderkey")
 
 
 @query("jn07_action_history", "select l_orderkey, l_linenumber, l_returnflag, o_custkey from lineitem join orders on l_orderkey = o_orderkey")
@@ -238,41 +246,12 @@ def _(s, d):
     return rel.snapshot_class_counts(old, new, "product_id", "payload_json")
 
 
-@query("jn12_brand_domains", "select p.row_id, r.manufacturer, r.web_domain from products p join brand_registry r on p.brand_code = r.brand_code")
-def _(s, d):
-    return products(s, d).join(registry(s, d), "brand_code").select("row_id", "manufacturer", "web_domain")
-
-
 @query("jn13_trusted_host", "select distinct w.fetch_id from web_fetch_exa w join brand_registry r on regexp_extract(lower(w.url), '://([^/]*)', 1) = r.web_domain or ends_with(regexp_extract(lower(w.url), '://([^/]*)', 1), '.' || r.web_domain)")
 def _(s, d):
     host = pages(s, d).select("fetch_id", F.explode(urls.parent_domains(urls.host("url"))).alias("web_domain"))
     return host.join(registry(s, d).select("web_domain"), "web_domain", "left_semi").select("fetch_id").distinct()
 
 
-@query("jn16_facts_without_page", "select f.fact_id from fact_item f where f.evidence_url is not null and not exists (select 1 from web_fetch_exa w where w.url = f.evidence_url)")
-def _(s, d):
-    return facts(s, d).where("evidence_url is not null").join(pages(s, d).select(F.col("url").alias("evidence_url")), "evidence_url", "left_anti").select("fact_id")
-
-
-@query("jn15_grounded_quotes")
-def _(s, d):
-    """Quotes of facts that stand word for word in a fetched page of their url: equi-join first, then contains."""
-    from plumbline.operators.nested import flat_table
-
-    quotes = flat_table(completions(s, d), "quote").where("url is not null and quote is not null")
-    body = pages(s, d).where("content is not null").select("url", "content").distinct()
-    return quotes.join(body, "url").where(F.contains("content", "quote")).select("product_id", "parent_pos", "child_pos").distinct()
-
-
-@query("jn14_uncited_sources")
-def _(s, d):
-    """Citations whose url is no evidence document of their completion."""
-    from plumbline.operators.nested import nested_rows
-
-    rows = nested_rows(completions(s, d)).where(~F.col("child_kind").isin("fact", "conflict", "evidence") & F.col("url").isNotNull() & (F.col("doc_pos") < 0))
-    return rows.groupBy("product_id", "child_kind").agg(F.count(F.lit(1)).alias("n"))
-
-
 # ---- aggregations
 
 
@@ -294,9 +273,12 @@ def _(s, d):
     return lineitem(s, d).agg(F.count(F.lit(1)).alias("actions"), F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("credits"), F.count_if(F.col("l_quantity").isNull() | (F.col("l_linestatus") == "O")).alias("unknown"), F.max("l_linenumber").alias("max_round"))
 
 
-@query("agg05_action_stats", "select l_returnflag as action, l_linestatus as status, count(*) as n, sum(l_quantity) as credits from lineitem group by l_returnflag, l_linestatus")
+@query("agg05_action_stats", "select a.action, b.status, count(l_orderkey) as n, coalesce(sum(l_quantity), 0) as credits from (values ('A'), ('N'), ('R'), ('X')) a(action) join (values ('F'), ('O')) b(status) on true left join lineitem on l_returnflag = a.action and l_linestatus = b.status group by 1, 2")
 def _(s, d):
-    return lineitem(s, d).groupBy(F.col("l_returnflag").alias("action"), F.col("l_linestatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("credits"))
+    """Counts and credits of every known action and status, zero where no row has them."""
+    kinds = s.createDataFrame([(a, b) for a in "ANRX" for b in "FO"], "action string, status string")
+    sums = lineitem(s, d).groupBy(F.col("l_returnflag").alias("action"), F.col("l_linestatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("credits"))
+    return kinds.join(sums, ["action", "status"], "left").select("action", "status", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("credits", F.lit(0.0)).alias("credits"))
 
 
 @query("agg06_completion_counts", "select count(*) as total, coalesce(sum(case when publishable = 1 then 1 end), 0) as publishable, coalesce(sum(case when published_at is not null then 1 end), 0) as published, coalesce(sum(case when publishable = 1 and published_at is null then 1 end), 0) as pending from product_research_completions")
@@ -339,14 +321,8 @@ def _(s, d):
     return rel.catalogue_checksum(one, "product_id", "source_hash")
 
 
-@query("agg12_max_attempt", "select coalesce(max(o_orderkey), 0) as attempt from orders where o_custkey < 0")
-def _(s, d):
-    return orders(s, d).where("o_custkey < 0").agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("attempt"))
-
-
-@query("agg12_log_max", "select coalesce(max(o_orderkey), 0) as attempt from orders")
+@query("agg12_max_attempt", "select coalesce(max(o_orderkey), 0) as attempt from orders")
 def _(s, d):
-    """The greatest key of the whole log, 0 if it is empty."""
     return orders(s, d).agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("attempt"))
 
 
@@ -443,9 +419,13 @@ def _(s, d):
 _KEY = "lower(regexp_extract(url, '^(https?)://', 1)) || '://' || lower(regexp_extract(url, '://([^/?#:]*)', 1)) || lower(case when regexp_replace(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/+$', '') = '' then '/' else regexp_replace(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '/+$', '') end) || coalesce(nullif('?' || regexp_extract(url, '[?]([^#]*)', 1), '?'), '')"
 
 
-@query("set03_url_dedupe", f"select {_KEY} as dedupe_key, count(*) as n from web_fetch_exa group by 1")
+@query("set03_url_dedupe", f"with k as (select {_KEY} as dedupe_key, * from web_fetch_exa), r as (select dedupe_key, fetch_id, length(content) as score, row_number() over (partition by dedupe_key order by length(content) desc nulls last, fetch_id desc) as rn from k where dedupe_key is not null), q as (select dedupe_key, count(*) as n, coalesce(array_to_string(list_sort(list_distinct(list(content_type))), ','), '') as queries from k where dedupe_key is not null group by 1) select r.dedupe_key, r.fetch_id, r.score, q.n, q.queries from r join q using (dedupe_key) where rn = 1")
 def _(s, d):
-    return pages(s, d).groupBy(urls.dedupe_key("url").alias("dedupe_key")).agg(F.count(F.lit(1)).alias("n"))
+    """Results of one page become one: the best score, the number of results and all that found it (here the content types)."""
+    p = pages(s, d).withColumn("score", F.length("content")).withColumn("_key", urls.dedupe_key("url")).where("_key is not null")
+    best = p.groupBy("_key").agg(F.max(F.struct("score", "fetch_id")).alias("t"), F.count(F.lit(1)).alias("n"))
+    found = p.where("content_type is not null").select("_key", "content_type").distinct().groupBy("_key").agg(F.array_join(F.array_sort(F.collect_list("content_type")), ",").alias("queries"))
+    return best.join(found, "_key", "left").select(F.col("_key").alias("dedupe_key"), "t.fetch_id", "t.score", "n", F.coalesce("queries", F.lit("")).alias("queries"))
 
 
 @query("set05_longest_body", f"with k as (select {_KEY} as dedupe_key, fetch_id, content, content_type from web_fetch_exa), r as (select *, row_number() over (partition by dedupe_key order by length(content) desc nulls last, fetch_id desc) as rn from k) select r.dedupe_key, r.fetch_id, length(r.content) as n_chars from r where rn = 1")
@@ -464,16 +444,10 @@ def _(s, d):
     return facts(s, d).where(F.trim("category") != "").select("product_id", F.lower(F.trim("category")).alias("tag")).distinct().groupBy("product_id").agg(F.array_join(F.array_sort(F.collect_list("tag")), ",").alias("tags"))
 
 
-@query("set10_ledger_union", "select l_orderkey as attempt, 'ledger' as origin from lineitem where l_quantity > 49 union all select o_orderkey, 'legacy' from orders where o_totalprice > 400000")
+@query("set10_ledger_union", "select l_orderkey as attempt, 'ledger' as origin from lineitem union all select o_orderkey, 'legacy' from orders")
 def _(s, d):
-    a = lineitem(s, d).where("l_quantity > 49").select(F.col("l_orderkey").alias("attempt"), F.lit("ledger").alias("origin"))
-    b = orders(s, d).where("o_totalprice > 400000").select(F.col("o_orderkey").alias("attempt"), F.lit("legacy").alias("origin"))
-    return a.unionByName(b)
-
-
-@query("set10_whole_union", "select l_orderkey as attempt, 'ledger' as origin from lineitem union all select o_orderkey, 'legacy' from orders")
-def _(s, d):
-    """Every row of the ledger and of the legacy table, whatever its value."""
     a = lineitem(s, d).select(F.col("l_orderkey").alias("attempt"), F.lit("ledger").alias("origin"))
     b = orders(s, d).select(F.col("o_orderkey").alias("attempt"), F.lit("legacy").alias("origin"))
     return a.unionByName(b)
+
+
