@@ -14,5 +14,5 @@ def test_category_fact_at_any_position(spark, tmp_path):
         "f": {"product_category": 5, "facts": [{"name": "product type", "value": 7}, {"name": "product type"}]},
     }
     spark.createDataFrame([(k, json.dumps(v)) for k, v in rows.items()] + [("g", "[1]"), ("h", "no json")], "product_id string, decision_json string").write.parquet(str(tmp_path / "product_research_completions.parquet"))
-    got = {r.product_id: r.category for r in core_queries.QUERIES["prj06_named_categories"](spark, str(tmp_path)).collect()}
+    got = {r.product_id: r.category for r in core_queries.QUERIES["prj06_categories"](spark, str(tmp_path)).collect()}
     assert got == {"a": "inverter", "b": "module", "c": "cable", "d": None, "e": None, "f": None}
