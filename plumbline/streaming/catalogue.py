@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plumbline.operators.relational import latest_per_key
-from plumbline.sources.store import SnapshotStore
+from plumbline.sources.store import PartitionedStore, SnapshotStore
 
 STATE = ["product_id", "brand_code", "family_code", "product_name", "unit_of_measure", "created_at", "updated_at"]
 
@@ -24,11 +24,12 @@ def upsert(current: DataFrame | None, arrived: DataFrame) -> DataFrame:
     return latest_per_key(stamped, ["product_id"], ["_at"], STATE)
 
 
-def run_upserts(spark: SparkSession, source_dir: str, store: SnapshotStore, checkpoint: str, since: str | None = None) -> StreamingQuery:
+def run_upserts(spark: SparkSession, source_dir: str, store: SnapshotStore | PartitionedStore, checkpoint: str, since: str | None = None) -> StreamingQuery:
     """Reads parquet files as they appear in ``source_dir`` and keeps ``store`` up to date; ends when all are read.
 
     ``since`` is an inclusive watermark: rows at exactly that time are read again, which is harmless.
-    A batch that is replayed after a failure gives the same state.
+    A batch that is replayed after a failure gives the same state. A ``PartitionedStore`` rewrites only
+    the parts that a batch touches, a ``SnapshotStore`` all of it.
     """
     schema = spark.read.parquet(source_dir).schema
     stream = spark.readStream.schema(schema).parquet(source_dir)
@@ -36,7 +37,7 @@ def run_upserts(spark: SparkSession, source_dir: str, store: SnapshotStore, chec
         stream = stream.where(F.coalesce("updated_at", "created_at") >= F.lit(since).cast("timestamp"))
 
     def apply(batch: DataFrame, _: int) -> None:
-        store.write(upsert(store.read(spark), batch))
+        store.merge(spark, batch, upsert)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

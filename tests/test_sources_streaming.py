@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 
 from plumbline.sources import readers
-from plumbline.sources.store import SnapshotStore
+from plumbline.sources.store import PartitionedStore, SnapshotStore
 from plumbline.streaming import catalogue
 
 SCHEMA = readers.PRODUCT_SCHEMA + ", extra int"
@@ -39,6 +39,25 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(str, batch.collect())) == sorted(map(str, store.read(spark).collect()))
 
 
+def test_stream_into_parts_rewrites_only_touched_ones(spark, tmp_path):
+    src, store = str(tmp_path / "in"), PartitionedStore(spark, str(tmp_path / "state"), "product_id", parts=16)
+    assert store.read(spark) is None
+    first = [product(f"p{i}", "old", T[1]) for i in range(40)] + [product(None, "y", T[1])]
+    spark.createDataFrame(first, SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    catalogue.run_upserts(spark, src, store, str(tmp_path / "cp")).awaitTermination()
+    before = store.manifest()
+    assert set(before.values()) == {1} and store.read(spark).count() == 40
+    spark.createDataFrame([product("p3", "new", T[2]), product("p3", "late", T[0])], SCHEMA).coalesce(1).write.mode("append").parquet(src)
+    catalogue.run_upserts(spark, src, store, str(tmp_path / "cp")).awaitTermination()
+    changed = {k for k, g in store.manifest().items() if g != before[k]}
+    assert len(changed) == 1
+    assert {r.product_id: r.product_name for r in store.read(spark).collect()} == {f"p{i}": "new" if i == 3 else "old" for i in range(40)}
+    assert store.merge(spark, spark.createDataFrame([product(None, "z", T[4])], SCHEMA), catalogue.upsert) == 2
+    for g in range(3, 6):
+        assert store.merge(spark, spark.createDataFrame([product("p3", f"n{g}", T[3])], SCHEMA), catalogue.upsert) == g
+    assert store.read(spark).count() == 40
+
+
 def test_since_is_inclusive(spark, tmp_path):
     src = str(tmp_path / "p")
     spark.createDataFrame([product("a", "n", T[1]), product("b", "n", T[2])], SCHEMA).write.parquet(src)
