@@ -25,6 +25,52 @@ def table_cell(text: Column | str) -> Column:
     return c
 
 
+def markdown_text(text: Column | str) -> Column:
+    """Text that forms no Markdown of its own."""
+    c = one_line(text)
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\\", "\\\\")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return F.regexp_replace(c, r"([\[\]()*_`])", r"\\$1")
+
+
+def internal_link(label: Column, path: Column) -> Column:
+    """A link to a page of the same site; null where the path is empty, climbs or holds an empty step."""
+    clean = F.regexp_replace(one_line(path), "^/+|/+$", "")
+    safe = (clean != "") & ~clean.rlike(r"(^|/)(\.{0,2})(/|$)") & ~clean.rlike(r"[\x00-\x1f]")
+    step = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A"))
+    shown = F.array_join(F.transform(F.split(clean, "/"), step), "/")
+    return F.when(safe, F.concat(F.lit("["), F.coalesce(F.nullif(markdown_text(label), F.lit("")), F.lit("查看")), F.lit("](/"), F.replace(shown, F.lit("%7E"), F.lit("~")), F.lit(")")))
+
+
+def search_queries(manufacturer: Column, models: Column, category: Column, most: int = 400) -> Column:
+    """Up to three queries for official documents of a product, best first; none without a model.
+
+    ``models`` is an array, best first. Queries that differ in letter case only count once.
+    """
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    first, second = F.get(models, F.lit(0)), F.get(models, F.lit(1))
+    identity = F.concat_ws(" ", F.when(manufacturer != "", quoted(manufacturer)), quoted(first))
+    several = second.isNotNull()
+    manual, family = F.lit("official specifications technical manual"), F.lit("manufacturer product family official")
+    named = F.array_contains(F.transform(F.concat(F.array(F.coalesce(manufacturer, F.lit(""))), models), F.lower), F.lower(category))
+    context = F.when((category != "") & ~named, quoted(category))
+    found = F.array(
+        F.concat_ws(" ", identity, F.lit("official datasheet PDF")),
+        F.when(several, F.concat(quoted(second), F.lit(" filetype:pdf"))).otherwise(F.concat_ws(" ", identity, manual)),
+        F.concat_ws(" ", identity, context, F.when(several, manual).otherwise(family)),
+    )
+    cut = F.transform(found, lambda q: F.left(one_line(q), F.lit(most)))
+    once = F.filter(cut, lambda q, i: ~F.exists(F.slice(cut, 1, i), lambda x: F.lower(x) == F.lower(q)))
+    return F.when(F.size(models) > 0, once)
+
+
+def valid_queries(queries: Column, most: int = 3, length: int = 400) -> Column:
+    """Whether an array is 1 to ``most`` different queries without control characters, none blank or too long; letter case does not count."""
+    clean = F.transform(queries, one_line)
+    each = F.forall(queries, lambda q: q.isNotNull() & ~q.rlike(r"[\x00-\x1f\x7f]") & (one_line(q) != "") & (F.length(one_line(q)) <= length))
+    return F.coalesce(F.size(queries).between(1, most) & each & (F.size(F.array_distinct(F.transform(clean, F.lower))) == F.size(queries)), F.lit(False))
+
+
 def probability(text: Column | str) -> Column:
     """A number in [0, 1] written as plain decimal without further leading zeros, else null."""
     return F.when(F.trim(text).rlike(r"^(0(\.\d+)?|1(\.0+)?)$"), F.trim(text).try_cast("double"))

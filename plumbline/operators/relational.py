@@ -115,3 +115,29 @@ def snapshot_class_counts(old: DataFrame, new: DataFrame, key: str, value: str)
         F.count_if(both & ~same).alias("changed"),
         F.count_if(both & same).alias("unchanged"),
     )
+
+
+def page_actions(current: DataFrame, desired: DataFrame, key: str, fields: list[str], stamp: str) -> DataFrame:
+    """(key, action): created, unchanged, updated, conflict or orphaned, by null-safe equality of all ``fields``.
+
+    A page that differs and whose ``stamp`` is later than the one the desired version was made from is a
+    conflict: somebody changed it in between. Keys are unique on both sides; null keys are no pages.
+    """
+    a = current.where(F.col(key).isNotNull()).select(key, F.struct(*fields).alias("_a"), F.col(stamp).alias("_at"))
+    b = desired.where(F.col(key).isNotNull()).select(key, F.struct(*fields).alias("_b"), F.col(stamp).alias("_from"))
+    action = (
+        F.when(F.col("_a").isNull(), "created").when(F.col("_b").isNull(), "orphaned").when(F.col("_a").eqNullSafe(F.col("_b")), "unchanged")
+        .when(F.col("_at") > F.col("_from"), "conflict").otherwise("updated")
+    )
+    return a.join(b, key, "full_outer").select(key, action.alias("action"))
+
+
+def checked_values(values: list[str], pattern: str, most: int) -> list[str]:
+    """Values of a filter, trimmed and once each; an error if one does not match ``pattern`` or there are more than ``most``."""
+    import re
+
+    out = list(dict.fromkeys(v.strip() for v in values))
+    bad = [v for v in out if not re.fullmatch(pattern, v)]
+    if bad or len(out) > most:
+        raise ValueError(f"not a filter value: {bad}" if bad else f"more than {most} values")
+    return out

@@ -146,13 +146,6 @@ def _(s, d):
     return rows.groupBy("product_id").agg(best["u"].alias("evidence_url"))
 
 
-@query("set04_bundle_merge", "select url, max(length(content)) as longest, array_to_string(list_sort(list_distinct(list(content_type))), ',') as types from web_fetch_exa group by url")
-def _(s, d):
-    longest = pages(s, d).groupBy("url").agg(F.max(F.length("content")).alias("longest"))
-    kinds = pages(s, d).where("content_type is not null").select("url", "content_type").distinct().groupBy("url").agg(F.array_join(F.array_sort(F.collect_list("content_type")), ",").alias("types"))
-    return longest.join(kinds, "url", "left").select("url", "longest", F.coalesce("types", F.lit("")).alias("types"))
-
-
 @query("set06_distinct_urls", "select product_id, count(distinct evidence_url) as n from fact_item where product_id is not null group by product_id")
 def _(s, d):
     return facts(s, d).where("product_id is not null").select("product_id", "evidence_url").distinct().groupBy("product_id").agg(F.count("evidence_url").alias("n"))

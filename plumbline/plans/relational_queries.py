@@ -391,12 +391,6 @@ def _(s, d):
     return completions(s, d).where("published_at is not null").groupBy("product_id").agg(F.max("published_at").alias("published_at")).orderBy(F.desc("published_at"), "product_id").limit(20)
 
 
-@query("top10_evidence_cap", "select product_id, evidence_url from (select product_id, evidence_url, row_number() over (partition by product_id order by evidence_url) as rn from (select distinct product_id, evidence_url from fact_item where evidence_url is not null)) where rn <= 5")
-def _(s, d):
-    w = Window.partitionBy("product_id").orderBy("evidence_url")
-    return facts(s, d).where("evidence_url is not null").select("product_id", "evidence_url").distinct().withColumn("_rn", F.row_number().over(w)).where("_rn <= 5").drop("_rn")
-
-
 @query("top11_round_robin", "select brand_code from brand_registry order by brand_code <= 'MRVN', brand_code limit 1")
 def _(s, d):
     return registry(s, d).select("brand_code").orderBy(F.col("brand_code") <= "MRVN", "brand_code").limit(1)

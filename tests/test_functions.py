@@ -108,3 +108,24 @@ def test_scalars(spark):
     now = F.lit("1994-11-06 08:49:00").cast("timestamp")
     assert each(spark, scalars.retry_after("u", 60.0, now), ["Sun, 06 Nov 1994 08:49:37 GMT", "Sun, 06 Nov 1994 08:00:00 GMT", "Mon, 07 Nov 1994 08:00:00 GMT", "06 Nov"]) == [37.0, 0.0, 60.0, None]
     assert [str(x) for x in each(spark, scalars.operator_time("u"), ["2026-01-02T03:04:05Z", "2026-01-02T05:04:05+02:00", "2026-01-02T03:04:05", "soon", None])] == ["2026-01-02 03:04:05", "2026-01-02 03:04:05", "None", "None", "None"]
+
+
+def test_search_queries(spark):
+    df = spark.createDataFrame([(1, "Acme", ["PV-42"], "Panel"), (2, "Acme", ["PV-42", "pv-43"], "acme"), (3, None, ["PV-42"], None), (4, "Acme", [], "x"), (5, "A" * 500, ["PV-42"], "x")], "i int, m string, ms array<string>, c string")
+    got = {r.i: r.q for r in df.select("i", scalars.search_queries(F.col("m"), F.col("ms"), F.col("c")).alias("q")).collect()}
+    assert got[1] == ['"Acme" "PV-42" official datasheet PDF', '"Acme" "PV-42" official specifications technical manual', '"Acme" "PV-42" "Panel" manufacturer product family official']
+    assert got[2] == ['"Acme" "PV-42" official datasheet PDF', '"pv-43" filetype:pdf', '"Acme" "PV-42" official specifications technical manual']
+    assert got[3][0] == '"PV-42" official datasheet PDF' and got[4] is None
+    assert [len(q) for q in got[5]] == [400]  # cut to the same text, they are one query
+
+
+def test_valid_queries(spark):
+    rows = [(["a", "b"], True), (["a", "A"], False), ([], False), (["a"] * 4, False), (["a\x01"], False), ([" "], False), (["x" * 401], False), ([None], False), (None, False)]
+    df = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(rows)], "i int, q array<string>")
+    assert {r.i: r.ok for r in df.select("i", scalars.valid_queries(F.col("q")).alias("ok")).collect()} == {i: ok for i, (_, ok) in enumerate(rows)}
+
+
+def test_links(spark):
+    df = spark.createDataFrame([(1, "a[b]", "/x y/ü~*/"), (2, "", "p"), (3, "l", "a/../b"), (4, "l", ""), (5, "l", "a//b"), (6, "l", None)], "i int, l string, p string")
+    got = {r.i: r.r for r in df.select("i", scalars.internal_link(F.col("l"), F.col("p")).alias("r")).collect()}
+    assert got == {1: "[a\\[b\\]](/x%20y/%C3%BC~%2A)", 2: "[查看](/p)", 3: None, 4: None, 5: None, 6: None}

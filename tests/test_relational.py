@@ -53,3 +53,21 @@ def test_class_counts_on_empty_states(spark):
     assert tuple(rel.snapshot_class_counts(e, e, "k", "v").collect()[0]) == (0, 0, 0, 0)
     assert tuple(rel.snapshot_class_counts(e, one, "k", "v").collect()[0]) == (1, 0, 0, 0)
     assert tuple(rel.snapshot_class_counts(one, one, "k", "v").collect()[0]) == (0, 0, 0, 1)
+
+
+def test_page_actions(spark):
+    schema = "k string, a string, b string, at int"
+    old = spark.createDataFrame([("same", "x", None, 1), ("new text", "x", None, 1), ("later", "x", None, 5), ("gone", "x", None, 1), (None, "x", "y", 1)], schema)
+    new = spark.createDataFrame([("same", "x", None, 9), ("new text", "x", "y", 1), ("later", "z", None, 4), ("made", "x", None, 1), (None, "x", "y", 1)], schema)
+    got = {r.k: r.action for r in rel.page_actions(old, new, "k", ["a", "b"], "at").collect()}
+    assert got == {"same": "unchanged", "new text": "updated", "later": "conflict", "gone": "orphaned", "made": "created"}
+
+
+def test_filter_values_are_checked():
+    assert rel.checked_values([" a", "b", "a"], "[a-z]", 2) == ["a", "b"]
+    for bad in (["A"], ["a", "b", "c"]):
+        try:
+            rel.checked_values(bad, "[a-z]", 2)
+        except ValueError:
+            continue
+        raise AssertionError(bad)
