@@ -141,3 +141,9 @@ def checked_values(values: list[str], pattern: str, most: int) -> list[str]:
     if bad or len(out) > most:
         raise ValueError(f"not a filter value: {bad}" if bad else f"more than {most} values")
     return out
+
+
+def usage_totals(df: DataFrame, group: str, column: str, fields: list[str]) -> DataFrame:
+    """(group, field, total) of the ``fields`` of a JSON object that hold whole numbers from zero; anything else does not count."""
+    used = df.select(group, F.explode(F.from_json(column, "map<string,string>")).alias("field", "v")).where(F.col("field").isin(*fields) & F.col("v").rlike("^[0-9]+$"))
+    return used.groupBy(group, "field").agg(F.sum(F.col("v").try_cast("bigint")).alias("total"))

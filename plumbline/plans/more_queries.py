@@ -29,10 +29,12 @@ def _(s, d):
     return completions(s, d).select("product_id", jsons.stripped_udf(["lease_token", "confidence"])("decision_json").alias("decision")).distinct()
 
 
-@query("prj05_search_identity", "select p.row_id, p.product_name, r.manufacturer, r.web_domain from products p left join brand_registry r on p.brand_code = r.brand_code where p.product_name is not null")
+@query("prj05_search_identity", "select p.row_id, p.product_name, r.manufacturer, r.web_domain, array_to_string(list_sort(list_distinct(list_transform(list_filter(regexp_extract_all(p.product_name, '[A-Za-z0-9]+(?:-[A-Za-z0-9]+)+'), lambda x: regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]') and length(x) >= 5), lambda x: upper(x)))), ',') as models from products p left join brand_registry r on p.brand_code = r.brand_code where p.product_name is not null")
 def _(s, d):
+    """What a search for a product starts from: its name, models, and the maker and domain of its brand."""
     r = registry(s, d).select("brand_code", "manufacturer", "web_domain")
-    return products(s, d).where("product_name is not null").join(r, "brand_code", "left").select("row_id", "product_name", "manufacturer", "web_domain")
+    models = F.array_join(F.array_sort(identity.model_fragments("product_name")), ",").alias("models")
+    return products(s, d).where("product_name is not null").join(r, "brand_code", "left").select("row_id", "product_name", "manufacturer", "web_domain", models)
 
 
 @query("prj07_trusted_policy", "select brand_code, lower(web_domain) as domain, array_to_string(list_sort(alias_list), ',') as aliases from brand_registry where web_domain is not null")
@@ -235,11 +237,13 @@ def _(s, d):
     return rows.where(grounding.states_value_udf()("quote", "value", F.col("unit"))).select("fact_id")
 
 
-@query("rnd05_home_counts", "select 'brand' as facet, brand_code as label, count(*) as n from products where trim(brand_code) <> '' group by brand_code union all select 'family', family_code, count(*) from products where trim(family_code) <> '' group by family_code")
+@query("rnd05_home_counts", "select 'brand' as facet, brand_code as label, count(*) as n from products where trim(brand_code) <> '' group by brand_code union all select 'family', family_code, count(*) from products where trim(family_code) <> '' group by family_code union all select 'category', category, count(distinct product_id) from fact_item where trim(category) <> '' and product_id is not null group by category")
 def _(s, d):
     p = products(s, d)
     facet = lambda c, n: p.where(F.trim(c) != "").groupBy(F.col(c).alias("label")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("facet"), "label", "n")
-    return facet("brand_code", "brand").unionByName(facet("family_code", "family"))
+    each = facts(s, d).where(F.col("product_id").isNotNull() & (F.trim("category") != "")).select("product_id", F.col("category").alias("label")).distinct()
+    categories = each.groupBy("label").agg(F.count(F.lit(1)).alias("n")).select(F.lit("category").alias("facet"), "label", "n")
+    return facet("brand_code", "brand").unionByName(facet("family_code", "family")).unionByName(categories)
 
 
 @query("set_constraint_violations", "select 'published_but_not_publishable' as rule, count(*) as n from product_research_completions where published_at is not null and publishable <> 1 union all select 'bad_source_hash', count(*) from product_research_completions where source_hash is null or not regexp_full_match(source_hash, '[0-9a-f]{64}') union all select 'path_without_action', count(*) from product_research_completions where wiki_path is not null and wiki_action is null")

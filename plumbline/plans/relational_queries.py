@@ -211,6 +211,30 @@ def _(s, d):
     return due.orderBy("o_orderdate", "o_orderkey").limit(50).select("o_custkey", "o_orderkey")
 
 
+@query("jn05_open_attempts", "select c_custkey, o_orderkey from customer join orders on c_custkey = o_custkey where o_orderstatus = 'O'")
+def _(s, d):
+    """Products with their attempts that have not ended (here customers and open orders)."""
+    open_ones = orders(s, d).where("o_orderstatus = 'O'").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return read_table(s, d, "customer").select("c_custkey").join(open_ones, "c_custkey").select("c_custkey", "o_orderkey")
+
+
+@query("jn06_source_consistency", "with h as (select product_id, max(struct_pack(g := generation, h := coalesce(source_hash, ''))) as t from product_catalogue_snapshot where product_id is not null group by product_id) select c.product_id, c.completed_at, case when h.t is null then 'not_listed' when c.source_hash is null then 'no_hash' when c.source_hash = h.t.h then 'current' else 'source_changed' end as state, count(*) as n from product_research_completions c left join h using (product_id) where c.product_id is not null group by all")
+def _(s, d):
+    """Whether each attempt was made from the source as the newest generation has it."""
+    newest = snapshots(s, d).where("product_id is not null").groupBy("product_id").agg(F.max(F.struct("generation", F.coalesce("source_hash", F.lit("")).alias("h"))).alias("t"))
+    state = F.when(F.col("t").isNull(), "not_listed").when(F.col("source_hash").isNull(), "no_hash").when(F.col("source_hash") == F.col("t.h"), "current").otherwise("source_changed")
+    rows = completions(s, d).where("product_id is not null").join(newest, "product_id", "left")
+    return rows.groupBy("product_id", "completed_at", state.alias("state")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("jn08_expired", "select c_custkey, o_orderkey from customer join orders on c_custkey = o_custkey where o_orderstatus = 'O' and o_orderdate <= timestamp '1996-01-01'")
+def _(s, d):
+    """Open attempts whose time has run out."""
+    o = orders(s, d)
+    late = o.where((F.col("o_orderstatus") == "O") & (F.col("o_orderdate") <= F.lit("1996-01-01").cast(o.schema["o_orderdate"].dataType))).select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return read_table(s, d, "customer").select("c_custkey").join(late, "c_custkey").select("c_custkey", "o_orderkey")
+
+
 @query("jn07_action_history", "select l_orderkey, l_linenumber, l_returnflag, o_custkey from lineitem join orders on l_orderkey = o_orderkey")
 def _(s, d):
     return lineitem(s, d).join(orders(s, d), F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", "l_returnflag", "o_custkey")
@@ -326,11 +350,13 @@ def _(s, d):
     return orders(s, d).agg(F.coalesce(F.max("o_orderkey"), F.lit(0)).alias("attempt"))
 
 
-@query("agg14_token_usage", "select event_type, sum((props->>'$.k')::bigint) as k from events where json_valid(props) group by event_type")
+USAGE_FIELDS = ["k", "input_tokens", "output_tokens", "total_tokens", "cached_tokens", "reasoning_tokens"]
+
+
+@query("agg14_token_usage", "select event_type, 'k' as field, sum((props->>'$.k')::bigint) as total from events where json_valid(props) and regexp_full_match(props->>'$.k', '[0-9]+') group by event_type")
 def _(s, d):
-    kept = F.explode(F.from_json("props", "map<string,string>")).alias("field", "v")
-    used = events(s, d).select("event_type", kept).where(F.col("field").isin("k")).select("event_type", F.col("v").try_cast("bigint").alias("v"))
-    return used.groupBy("event_type").agg(F.sum("v").alias("k"))
+    """Totals per type of each known field that holds a whole number; other fields and values do not count."""
+    return rel.usage_totals(events(s, d), "event_type", "props", USAGE_FIELDS)
 
 
 # ---- streaks
@@ -361,10 +387,12 @@ def _(s, d):
     return top.withColumn("expires_at", F.col("ts") + F.expr("interval 6 hours"))
 
 
-@query("seq05_recovered", "select o_custkey, o_orderkey from (select *, lag(o_orderstatus) over (partition by o_custkey order by o_orderkey) as prev from orders) where o_orderstatus = 'F' and prev = 'P'")
+@query("seq05_recovered", "select o_custkey, o_orderkey, failed from (select *, max(case when o_orderstatus = 'P' then o_orderkey end) over (partition by o_custkey, o_orderpriority order by o_orderkey rows between unbounded preceding and 1 preceding) as failed from orders) where o_orderstatus = 'F' and failed is not null")
 def _(s, d):
-    prev = F.lag("o_orderstatus").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    return orders(s, d).withColumn("_p", prev).where("o_orderstatus = 'F' and _p = 'P'").select("o_custkey", "o_orderkey")
+    """Attempts with the newest earlier failed one of the same product under the same policy (here the priority)."""
+    before = Window.partitionBy("o_custkey", "o_orderpriority").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, -1)
+    failed = F.max(F.when(F.col("o_orderstatus") == "P", F.col("o_orderkey"))).over(before)
+    return orders(s, d).withColumn("failed", failed).where("o_orderstatus = 'F' and failed is not null").select("o_custkey", "o_orderkey", "failed")
 
 
 # ---- rankings
@@ -380,10 +408,15 @@ def _(s, d):
     return completions(s, d).where("publishable = 1 and published_at is null").orderBy(F.asc_nulls_first("completed_at"), "product_id").limit(1).select("product_id")
 
 
-@query("top04_ranked_pages", "select fetch_id from (select fetch_id, row_number() over (partition by regexp_extract(lower(url), '://([^/]*)', 1) order by (case when ends_with(regexp_replace(lower(url), '[?#].*', ''), '.pdf') then 0 else 1 end), length(content) desc nulls last, url, fetch_id) as rn from web_fetch_exa) where rn <= 5")
+_IN_URL = "[a-z]+-[0-9]+[a-z]-[0-9][a-z0-9]+"
+
+
+@query("top04_ranked_pages", f"select fetch_id, place from (select fetch_id, row_number() over (partition by regexp_extract(lower(url), '://([^/]*)', 1) order by length(regexp_extract(lower(url), '{_IN_URL}')) desc, (case when ends_with(regexp_replace(lower(url), '[?#].*', ''), '.pdf') then 0 else 1 end), length(content) desc nulls last, url, fetch_id) as place from web_fetch_exa) where place <= 5")
 def _(s, d):
-    ranked = Window.partitionBy(urls.host("url")).orderBy(F.when(urls.is_pdf("url"), 0).otherwise(1), F.length("content").desc_nulls_last(), "url", "fetch_id")
-    return pages(s, d).withColumn("_rn", F.row_number().over(ranked)).where("_rn <= 5").select("fetch_id")
+    """The best pages of each host: the longest model key in the url first, documents before pages, then by score and url."""
+    relevance = F.length(F.regexp_extract(F.lower("url"), f"({_IN_URL})", 1))
+    ranked = Window.partitionBy(urls.host("url")).orderBy(relevance.desc(), F.when(urls.is_pdf("url"), 0).otherwise(1), F.length("content").desc_nulls_last(), "url", "fetch_id")
+    return pages(s, d).withColumn("place", F.row_number().over(ranked)).where("place <= 5").select("fetch_id", "place")
 
 
 @query("top07_newest_first", "select product_id, max(published_at) as published_at from product_research_completions where published_at is not null group by product_id order by 2 desc, 1 limit 20")
@@ -391,9 +424,11 @@ def _(s, d):
     return completions(s, d).where("published_at is not null").groupBy("product_id").agg(F.max("published_at").alias("published_at")).orderBy(F.desc("published_at"), "product_id").limit(20)
 
 
-@query("top11_round_robin", "select brand_code from brand_registry order by brand_code <= 'MRVN', brand_code limit 1")
+@query("top11_round_robin", "select brand_code from brand_registry where kind = 'manufacturer' and brand_code not in ('NRDL', 'NRDX') and web_domain is not null order by brand_code <= 'MRVN', brand_code limit 1")
 def _(s, d):
-    return registry(s, d).select("brand_code").orderBy(F.col("brand_code") <= "MRVN", "brand_code").limit(1)
+    """The next key behind the cursor that is neither disabled nor excluded nor without a target."""
+    healthy = registry(s, d).where(F.col("kind").eqNullSafe("manufacturer") & ~F.col("brand_code").isin("NRDL", "NRDX") & F.col("web_domain").isNotNull())
+    return healthy.select("brand_code").orderBy(F.col("brand_code") <= "MRVN", "brand_code").limit(1)
 
 
 # ---- sets and deduplication
