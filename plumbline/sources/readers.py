@@ -54,3 +54,49 @@ def registry_violations(registry: DataFrame, most_aliases: int = 20) -> DataFram
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """One consistent reading of a source that changes: it is read once and written to the shared checkpoint folder."""
+    from plumbline.session import cut
+
+    return cut(df)
+
+
+def alias_map(spark: SparkSession, text: str | None, most_keys: int = 500, most_values: int = 50) -> DataFrame:
+    """(key, value) of a map that an operator configures as JSON, each value a text or a list of texts.
+
+    Keys and values are trimmed, keys in lower case. A key that stands twice, other types, blanks and
+    more than ``most_keys`` keys or ``most_values`` values of one key are errors; no text is an empty map.
+    """
+    from plumbline.functions.jsons import strict_object
+
+    given = {} if text is None or not text.strip() else strict_object(text)
+    if given is None:
+        raise ValueError("the map is no JSON object with different keys")
+    rows: list[tuple[str, str]] = []
+    if len(given) > most_keys:
+        raise ValueError(f"more than {most_keys} keys")
+    for key, values in given.items():
+        listed = values if isinstance(values, list) else [values]
+        if not key.strip() or not listed or len(listed) > most_values or not all(isinstance(v, str) and v.strip() for v in listed):
+            raise ValueError(f"not a list of up to {most_values} texts: {key!r}")
+        rows += [(key.strip().lower(), v.strip()) for v in dict.fromkeys(listed)]
+    if len({k.strip().lower() for k in given}) < len(given):
+        raise ValueError("keys differ by letter case only")
+    return spark.createDataFrame(rows, "key string, value string")
+
+
+def json_files(spark: SparkSession, path: str, schema: str, most_bytes: int = 1_000_000) -> DataFrame:
+    """One row per JSON file with the columns of ``schema`` and its path; a file over ``most_bytes`` or without a JSON object is an error.
+
+    The sizes are checked by a listing; a file's content is read by the task that parses it.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    large = files.where(F.col("length") > most_bytes).select("path").limit(1).collect()
+    if large:
+        raise ValueError(f"larger than {most_bytes} bytes: {large[0][0]}")
+    text = F.decode("content", "UTF-8")
+    object_text = F.when(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), text)
+    checked_text = F.coalesce(object_text, F.raise_error(F.concat(F.lit("no JSON object: "), "path")).cast("string"))
+    return files.select("path", F.from_json(checked_text, schema).alias("v")).select("path", "v.*")

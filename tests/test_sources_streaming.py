@@ -86,3 +86,32 @@ def test_registry_file(spark, tmp_path):
     r = readers.registry_from_json(spark, str(f))
     assert r.columns == ["brand_code", "manufacturer", "kind", "alias_list", "web_domain"]
     assert sorted((v.rule, v.value) for v in readers.registry_violations(r).collect()) == [("blank", "A"), ("duplicate_alias", "x"), ("duplicate_code", "A")]
+
+
+def test_alias_map(spark):
+    got = {(r.key, r.value) for r in readers.alias_map(spark, '{" ACME ": ["a.example", "b.example", "a.example"], "x": "y"}').collect()}
+    assert got == {("acme", "a.example"), ("acme", "b.example"), ("x", "y")}
+    assert readers.alias_map(spark, None).count() == readers.alias_map(spark, " ").count() == 0
+    for bad in ('{"a": "x", "a": "y"}', '{"a": "x", "A": "y"}', '{"a": [1]}', '{"a": []}', '{" ": "x"}', "[]", '{"a": "' + '", "b": "'.join("xy") + '"', '{"a": ' + str(["x" * (i + 1) for i in range(51)]).replace("'", '"') + "}"):
+        with pytest.raises(ValueError):
+            readers.alias_map(spark, bad)
+
+
+def test_json_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"x": 1, "secret": 2}')
+    (tmp_path / "b.json").write_text('{"y": "ü"}', encoding="utf-8")
+    got = sorted((r.path[-6:], r.x, r.y) for r in readers.json_files(spark, str(tmp_path), "x int, y string").collect())
+    assert got == [("a.json", 1, None), ("b.json", None, "ü")]
+    with pytest.raises(ValueError):
+        readers.json_files(spark, str(tmp_path), "x int", most_bytes=5)
+    (tmp_path / "c.json").write_text("[1")
+    with pytest.raises(Exception, match="no JSON object"):
+        readers.json_files(spark, str(tmp_path), "x int").collect()
+
+
+def test_a_frozen_reading_does_not_change(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    kept = readers.frozen(spark.read.parquet(path))
+    spark.range(9).write.mode("overwrite").parquet(path)
+    assert kept.count() == 3
