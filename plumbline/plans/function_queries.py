@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plumbline.functions import canonical, identity, scalars, urls
+from plumbline.functions import canonical, identity, scalars, text, urls
 from plumbline.session import read_table
 
 QUERIES = {}
@@ -62,12 +62,21 @@ def _(s, d):
     return read_table(s, d, "events").where(F.try_parse_json("props").isNotNull()).select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "int").alias("k"))
 
 
-@query("str01_identity_keys")
+def _narrowed(c: str) -> str:
+    wide, narrow = (x.replace("'", "''") for x in (text.WIDE, text.NARROW))
+    return f"translate({c}, '{wide}', '{narrow}')"
+
+
+def _key(c: str) -> str:
+    return f"regexp_replace(replace(replace(replace(translate(lower({c}), 'µς', 'μσ'), 'ß', 'ss'), 'ﬁ', 'fi'), 'ﬂ', 'fl'), '[^\\pL\\pN]', '', 'g')"
+
+
+@query("str01_identity_keys", "select row_id, " + _key(f"nfc_normalize({_narrowed('product_name')})") + " as key from products")
 def _(s, d):
     return read_table(s, d, "products").select("row_id", identity.identity_key_column("product_name").alias("key"))
 
 
-@query("str02_search_keys")
+@query("str02_search_keys", "select row_id, " + _key("product_name") + " as key from products")
 def _(s, d):
     return read_table(s, d, "products").select("row_id", identity.identity_key_column("product_name", compatibility=False).alias("key"))
 
@@ -80,7 +89,7 @@ def _(s, d):
     return read_table(s, d, "documents").select("doc_id", scalars.one_line("text").alias("line"))
 
 
-@query("str06_slugs")
+@query("str06_slugs", "select row_id, case when slug <> '' then 'products/' || slug || '-' || left(sha256(raw), 10) end as path from (select row_id, raw, trim(regexp_replace(lower(" + _narrowed("raw") + "), '[^\\pL\\pN]+', '-', 'g'), '-') as slug from (select row_id, trim(regexp_replace(product_id, '\\s+', ' ', 'g')) as raw from products))")
 def _(s, d):
     return read_table(s, d, "products").select("row_id", identity.path_udf()("product_id").alias("path"))
 
@@ -203,7 +212,11 @@ def _(s, d):
     return rows.select("l_orderkey", "l_linenumber", scalars.rank_score((F.col("l_linenumber") - 1).cast("double"), n).alias("score"))
 
 
-@query("txt01_named_models")
+_APART, _JOINER = "[^\\pL\\pN]", "[._/-]"
+_EXACT = f"'(?:^|[^\\pL\\pN._/-]|(?:^|{_APART}){_JOINER})' || array_to_string(string_split_regex(lower(model), '[^a-z0-9]+'), '{_APART}*') || '(?:$|[^\\pL\\pN._/-]|{_JOINER}(?:$|{_APART}))'"
+
+
+@query("txt01_named_models", "with m as (select distinct product_id, upper(x) as model from (select product_id, unnest(regexp_extract_all(product_name, '[A-Za-z0-9]+(?:-[A-Za-z0-9]+)+')) as x from products where product_id is not null) where regexp_matches(x, '[A-Za-z]') and regexp_matches(x, '[0-9]') and length(x) >= 5) select distinct doc_id, model from documents join m using (product_id) where regexp_matches(lower(" + _narrowed("text") + f"), {_EXACT})")
 def _(s, d):
     """Documents that name exactly a model of the product they belong to. Products with many documents are broadcast."""
     from plumbline.operators.skew import join_hot
