@@ -3,9 +3,10 @@
 Texts that hold no special character are their own form (a check, not a sample: the set of special
 characters is exactly those whose form differs, and all combining marks). The others are exploded to
 positioned pieces: a special character, a character with the marks that attach to it, or a stretch that
-no rule touches. Every different piece is exploded to positioned code points, which are joined with the
-broadcast mapping of decompositions and look-alikes; marks are ordered by class and recomposed. The
-pieces' forms are joined back and the texts put together again.
+no rule touches. Characters that stand alone are joined with the broadcast mapping of their decomposed
+and recomposed forms and look-alikes. Every different character with marks is exploded to positioned
+code points, which are joined with the broadcast mapping of decompositions and look-alikes; marks are
+ordered by class and recomposed; these forms are joined back. Then the texts are put together again.
 """
 
 from __future__ import annotations
@@ -121,20 +122,34 @@ def _forms(distinct: DataFrame) -> DataFrame:
     return runs.groupBy("piece").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_run", made.alias("_s")))), lambda r: r["_s"]), "").alias("canonical"))
 
 
+def _single_forms(spark: SparkSession) -> DataFrame:
+    """piece and canonical of every special character that stands alone (a fixed table)."""
+    return spark.createDataFrame([(c, la.fold(c)) for c in la.special_characters()], "piece string, _alone string")
+
+
 def _rebuilt(odd: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """``keys`` and ``canonical`` of texts with special characters, one row per key. ``odd`` is read twice."""
+    """``keys`` and ``canonical`` of texts with special characters, one row per key.
+
+    ``odd`` is read once for its pieces and, where a text holds a combining mark, once before that for its
+    different characters with marks.
+    """
+    has_mark = lambda c: c.rlike(_java_classes()[2])
+    with_marks = (F.length("piece") > 1) & has_mark(F.col("piece"))
+    counted = cut(
+        odd.where(has_mark(F.col(text))).select(F.explode(F.array_distinct(pieces(F.col(text)))).alias("piece")).where(with_marks).groupBy("piece").agg(F.count(F.lit(1)).alias("_n"))
+    )
+    forms = cut(counted.join(_forms(counted.select("piece")), "piece"))
     # texts are shuffled, not their pieces: all that follows keeps this partitioning
     points = odd.dropDuplicates(keys).select(*keys, F.posexplode(pieces(F.col(text))).alias("_pos", "_piece"))
-    counted = odd.select(F.explode(pieces(F.col(text))).alias("piece")).where(has_special(F.col("piece"))).groupBy("piece").agg(F.count(F.lit(1)).alias("_n"))
-    counted = cut(counted)
-    forms = cut(counted.join(_forms(counted.select("piece")), "piece"))
     # stretches match no form; they do not meet in one task
-    points = points.withColumn("piece", F.when(has_special(F.col("_piece")), F.col("_piece")).otherwise(F.concat(F.lit("\x00\x00"), (F.col("_pos") % 4096).cast("string"))))
+    asked = (F.length("_piece") == 1) | has_mark(F.col("_piece"))
+    points = points.withColumn("piece", F.when(asked, F.col("_piece")).otherwise(F.concat(F.lit("\x00\x00"), (F.col("_pos") % 4096).cast("string"))))
+    points = points.join(F.broadcast(_single_forms(odd.sparkSession)), "piece", "left")
     if counted.count() <= BROADCAST_PIECES:
         joined = points.join(F.broadcast(forms.drop("_n")), "piece", "left")
     else:
         joined = join_hot(points, forms, "piece", "_n")
-    part = F.struct("_pos", F.coalesce("canonical", "_piece").alias("_s"))
+    part = F.struct("_pos", F.coalesce("_alone", "canonical", "_piece").alias("_s"))
     return joined.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda r: r["_s"]), "").alias("canonical"))
 
 
