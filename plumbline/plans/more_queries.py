@@ -75,11 +75,6 @@ def _(s, d):
     return products(s, d).where("product_id = 'P-0000010'").select("row_id", "product_name")
 
 
-@query("fil12_slot", "select l_orderkey, l_partkey from lineitem where l_linenumber = 1 and l_returnflag = 'A' and l_orderkey = 7")
-def _(s, d):
-    return lineitem(s, d).where("l_linenumber = 1 and l_returnflag = 'A' and l_orderkey = 7").select("l_orderkey", "l_partkey")
-
-
 @query("fil14_narrow_domains", "select distinct lower(web_domain) as domain from brand_registry where regexp_full_match(lower(web_domain), '([a-z0-9]([a-z0-9-]*[a-z0-9])?\\.)+[a-z]{2,}')")
 def _(s, d):
     return registry(s, d).select(F.lower("web_domain").alias("domain")).where(F.col("domain").rlike(r"^([a-z0-9]([a-z0-9-]*[a-z0-9])?\.)+[a-z]{2,}$")).distinct()
@@ -167,11 +162,6 @@ def _(s, d):
     return official.withColumn("mode", F.lit("official_only")).unionByName(open_web.withColumn("mode", F.lit("open_web")))
 
 
-@query("orc02_failed_fetches", "select fetch_id, url, fetch_status from web_fetch_exa where content is null or fetch_status <> 'success'")
-def _(s, d):
-    return pages(s, d).where("content is null or fetch_status <> 'success'").select("fetch_id", "url", "fetch_status")
-
-
 _SPACES = "[\\s\\x{0B}\\x{85}\\p{Z}]+"
 
 

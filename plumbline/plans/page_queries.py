@@ -10,7 +10,7 @@ from plumbline.operators import relational as rel
 from plumbline.operators.nested import flat_table
 from plumbline.plans.function_queries import _ALLOWED, _ASKED, _PATH, _STANDARD
 from plumbline.plans.problem_queries import _NESTED
-from plumbline.plans.relational_queries import _TWO, _two_states, completions, events, facts, pages, products, registry
+from plumbline.plans.relational_queries import _TWO, _two_states, completions, events, facts, lineitem, orders, pages, products, registry
 
 QUERIES = {}
 ORACLES = {}
@@ -136,3 +136,19 @@ def _(s, d):
 def _(s, d):
     kinds = rel.checked_values([" error", "click", "error"], "[a-z_]{1,32}", 32)
     return events(s, d).where(F.col("event_type").isin(*kinds) & F.col("value").between(0, 599)).select("event_id")
+
+
+@query("fil12_slot", "select l_orderkey, l_partkey, o_custkey from lineitem join orders on l_orderkey = o_orderkey where l_linenumber = 1 and l_returnflag = 'A' and l_orderkey = 7")
+def _(s, d):
+    """The action in one slot of an attempt, with the attempt's product."""
+    slot = lineitem(s, d).where("l_linenumber = 1 and l_returnflag = 'A' and l_orderkey = 7").select("l_orderkey", "l_partkey")
+    attempt = orders(s, d).where("o_orderkey = 7").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    return slot.join(attempt, "l_orderkey").select("l_orderkey", "l_partkey", "o_custkey")
+
+
+@query("orc02_extracts", f"select url, case when failed then 'failed' else 'result' end as kind, max(case when not failed then length(content) end) as longest, count(*) as n from (select {_CANON} as url, content, content is null or fetch_status is distinct from 'success' as failed from web_fetch_exa) where url is not null group by url, failed")
+def _(s, d):
+    """Fetches as results and failures by url; urls that are none are dropped, the longest body of a url counts."""
+    failed = F.col("content").isNull() | ~F.col("fetch_status").eqNullSafe("success")
+    rows = pages(s, d).select(urls.state_url("url").alias("url"), "content", F.when(failed, "failed").otherwise("result").alias("kind")).where("url is not null")
+    return rows.groupBy("url", "kind").agg(F.max(F.when(F.col("kind") == "result", F.length("content"))).alias("longest"), F.count(F.lit(1)).alias("n"))
