@@ -260,3 +260,25 @@ def _(s, d):
 def _(s, d):
     """Failed fetches, once per url and error."""
     return pages(s, d).where("content is null or fetch_status <> 'success'").groupBy("url", F.col("fetch_status").alias("error")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("prj10_source_picks", _NESTED + "select product_id, kind as child_kind, child_pos::int as child_pos, coalesce(nullif(trim(o->>'$.title'), ''), case when kind = 'datasheet' then 'Datasheet' else '相关资料' end) as label, url, kind = 'datasheet' or contains(lower(coalesce(o->>'$.source_type', '')), 'datasheet') as is_datasheet from urls where kind in ('datasheet', 'source') and url is not null")
+def _(s, d):
+    """Label, url and datasheet flag of every listed source; one without a title gets a fixed label."""
+    picks = []
+    for kind, unnamed in (("datasheet", "Datasheet"), ("source", "相关资料")):
+        rows = flat_table(completions(s, d), kind).where("url is not null")
+        flag = F.lit(kind == "datasheet") | F.contains(F.lower(F.coalesce("source_type", F.lit(""))), F.lit("datasheet"))
+        label = F.coalesce(F.nullif(F.trim("title"), F.lit("")), F.lit(unnamed))
+        picks.append(rows.select("product_id", F.lit(kind).alias("child_kind"), "child_pos", label.alias("label"), "url", flag.alias("is_datasheet")))
+    return picks[0].unionByName(picks[1])
+
+
+@query("prj09_typed_decisions", "with o as (select product_id, completed_at, decision_json as d from product_research_completions where json_valid(decision_json) and json_type(decision_json) = 'OBJECT') select product_id, completed_at, d->>'$.schema_version' as schema_version, d->>'$.outcome' as outcome, (d->>'$.confidence')::double as confidence, case when json_type(d->'$.facts') = 'ARRAY' then json_array_length(d->'$.facts') end::int as facts from o")
+def _(s, d):
+    """Decisions decoded from text to typed columns; a missing or ill-typed field is null."""
+    v = F.try_parse_json("decision_json")
+    ok = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    text = lambda f: F.try_variant_get(v, f"$.{f}", "string").alias(f)
+    size = F.size(F.try_variant_get(v, "$.facts", "array<variant>"))
+    return completions(s, d).where(ok).select("product_id", "completed_at", text("schema_version"), text("outcome"), F.try_variant_get(v, "$.confidence", "double").alias("confidence"), F.when(size >= 0, size).alias("facts"))
